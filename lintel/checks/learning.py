@@ -1,2 +1,331 @@
+"""The feature table against SQL, and learned models by contract (no second engine)."""
+
+from __future__ import annotations
+
+import os
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lintel.checks.common import KEY, LABEL, WITH, rounded, rs
+from lintel.checks.derived_columns import BASE, catalogue
+from lintel.checks.tables import scratch
+from lintel.functions.derived import DERIVED
+from lintel.operators import clean, encode, evaluate, ranking, scale
+from lintel.operators.state import Fitted
+from lintel.plans import ensemble, jobs, models, search
+from lintel.plans.features import FREQUENCY, GROUP_VALUES, GROUPS, TARGET, FeatureConfig, fit_features
+from lintel.session import cut
+from lintel.sources.listing import CLASSES, NUMERIC, listing, numeric_rows, table
+from lintel.sources.tables import write_report
+from lintel.streaming.scoring import apply_stream
+
+COLUMNS = ["UpperFloorArea", "UnfinishedBasementArea", "PlotSize", "TotalRooms", "BuildingGrade", "OfficeSpace"]
+
+
+def config(**kw) -> FeatureConfig:
+    return FeatureConfig(KEY, LABEL, classes=CLASSES, **kw)
+
+
+def build_features(spark: SparkSession, sf: str) -> DataFrame:
+    rows = listing(spark, sf)
+    return rounded(fit_features(rows, config()).apply(rows), digits=5)
+
+
+def features_robust(spark: SparkSession, sf: str) -> DataFrame:
+    """Robust scale, no derived or group columns."""
+    rows = listing(spark, sf)
+    fitted = fit_features(rows, config(model="logistic", wide=False, group_statistics=False))
+    return rounded(fitted.apply(rows).select(KEY, LABEL, *NUMERIC), digits=5)
+
+
+FLAGGED = ["ConstructionYear", "RenovationYear", "GroundFloorArea", "UpperFloorArea", "BasementArea", "FinishedBasementArea1",
+           "FinishedBasementArea2", "UnfinishedBasementArea", "PlotSize", "ParkingSpots", "Restrooms", "BasementQuality", "BasementCondition"]
+
+# The categories of the one-hot columns in the test tables.
+CATEGORIES = {
+    "Proximity1": ["1", "2", "3", "4", "5", "n/a"],
+    "Proximity2": ["1", "2", "3", "4", "5", "6", "7", "__MISSING__"],
+    "ConferenceRoomQuality": ["", "  ", "F", "O", "P", "__MISSING__"],
+}
+
+
+def filled_sql(columns: list[str]) -> str:
+    def one(c: str) -> str:
+        value = f'coalesce(CAST("{c}" AS DOUBLE), (SELECT quantile_cont(CAST("{c}" AS DOUBLE), 0.5) FROM listing))'
+        return f'ln(1 + greatest({value}, 0)) AS "{c}"' if c == "PlotSize" else f'{value} AS "{c}"'
+
+    return f"filled AS (SELECT {KEY}, {', '.join(one(c) for c in columns)} FROM listing)"
+
+
+def features_sql() -> str:
+    exprs = catalogue()
+    ks = range(5)
+    derived = f"d AS (SELECT {KEY}, {', '.join(f'CAST({e} AS DOUBLE) AS {q(c)}' for c, e in exprs.items())} FROM shared)"
+    keyed = list(dict.fromkeys([*FREQUENCY, *TARGET]))
+    prior = "prior AS (SELECT " + ", ".join(f"CAST(count(*) FILTER ({LABEL} = {k}) AS DOUBLE) / count(*) AS p{k}" for k in ks) + ", count(*) AS total FROM listing)"
+    maps = ", ".join(
+        f"m_{c} AS (SELECT coalesce({c}, 'nan') AS v, count(*) AS n, {', '.join(f'count(*) FILTER ({LABEL} = {k}) AS n{k}' for k in ks)} FROM listing GROUP BY 1)"
+        for c in keyed
+    )
+    groups = ", ".join(
+        f"g_{g} AS (SELECT {g} AS g, {', '.join(f'avg(d.{v}) AS m_{v}, stddev_samp(d.{v}) AS s_{v}' for v in GROUP_VALUES)} FROM d JOIN listing USING ({KEY}) WHERE {g} IS NOT NULL GROUP BY 1)"
+        for g in GROUPS
+    )
+    rel = {}
+    for g in GROUPS:
+        for v in GROUP_VALUES:
+            rel[f"{v}_ZScore__{g}"] = f"(d.{v} - g_{g}.m_{v}) / (g_{g}.s_{v} + 0.000001e0)"
+            rel[f"{v}_RelShift__{g}"] = f"(d.{v} - g_{g}.m_{v}) / (abs(g_{g}.m_{v}) + 0.000001e0)"
+    related = f"""rel AS (SELECT {KEY}, {', '.join(f'{e} AS {q(n)}' for n, e in rel.items())} FROM d JOIN listing USING ({KEY})
+ {' '.join(f'LEFT JOIN g_{g} ON {g} = g_{g}.g' for g in GROUPS)})"""
+    sums = f"stats AS (SELECT {', '.join(f'avg({q(c)}) AS m_{c}, stddev_pop({q(c)}) AS s_{c}' for c in NUMERIC)} FROM filled)"
+    mids = f"mids AS (SELECT {', '.join(f'quantile_cont({q(c)}, 0.5) AS {q(c)}' for c in exprs)} FROM d)"
+    rel_mids = f"rel_mids AS (SELECT {', '.join(f'quantile_cont({q(c)}, 0.5) AS {q(c)}' for c in rel)} FROM rel)"
+    out = [f"l.{KEY}", f"l.{LABEL}"]
+    out += [rs(f"(f.{q(c)} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END", c, 5) for c in NUMERIC]
+    out += [f'CAST(l.{q(c)} IS NULL AS INT) AS "{c}_missing"' for c in FLAGGED]
+    out += [f"CAST(coalesce(l.{c}, '__MISSING__') = '{v}' AS INT) AS \"{c}_{v}\"" for c, vs in CATEGORIES.items() for v in vs]
+    out += ["""CASE WHEN l.ConferenceRoomQuality IS NULL OR regexp_full_match(l.ConferenceRoomQuality, '\\s*') THEN 1 ELSE 0 END AS "ConferenceRoomQuality_blank\""""]
+    out += [rs(f"coalesce(d.{q(c)}, mids.{q(c)})", c, 5) for c in DERIVED]
+    out += [rs(f"CAST(m_{c}.n AS DOUBLE) / total", f"FE__{c}", 5) for c in FREQUENCY]
+    out += [rs(f"(m_{c}.n{k} + 10.0e0 * p{k}) / (m_{c}.n + 10.0e0)", f"TE__{c}__p{k}", 5) for c in TARGET for k in ks]
+    out += [rs(f"coalesce(rel.{q(c)}, rel_mids.{q(c)})", c, 5) for c in rel]
+    joins = " ".join(f"LEFT JOIN m_{c} ON coalesce(l.{c}, 'nan') = m_{c}.v" for c in keyed)
+    return f"""{BASE}, {derived}, {filled_sql(NUMERIC)}, {sums}, {mids}, {prior}, {maps}, {groups}, {related}, {rel_mids}
+ SELECT {', '.join(out)} FROM listing l JOIN filled f USING ({KEY}) JOIN d USING ({KEY}) JOIN rel USING ({KEY}) {joins}
+ CROSS JOIN stats CROSS JOIN mids CROSS JOIN prior CROSS JOIN rel_mids"""
+
+
+def q(name: str) -> str:
+    return f'"{name}"'
+
+
+def robust_sql() -> str:
+    stats = ", ".join(
+        f"quantile_cont({q(c)}, 0.5) AS m_{c}, quantile_cont({q(c)}, 0.75) - quantile_cont({q(c)}, 0.25) AS s_{c}" for c in NUMERIC
+    )
+    out = ", ".join(rs(f"(f.{q(c)} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END", c, 5) for c in NUMERIC)
+    return WITH + f", {filled_sql(NUMERIC)}, stats AS (SELECT {stats} FROM filled) SELECT {KEY}, {LABEL}, {out} FROM filled f JOIN listing USING ({KEY}) CROSS JOIN stats"
+
+
+def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Assembled training and validation rows over a few numeric columns, written out once."""
+    split = ranking.stratified_split(numeric_rows(spark, sf, *COLUMNS), LABEL, KEY)
+    train = split.where("is_valid = 0")
+    imputer = clean.fit_impute(train, COLUMNS, "median")
+    scaler = scale.fit_standard(imputer.apply(train), COLUMNS)
+    ready = models.assemble(scaler.apply(imputer.apply(split)), COLUMNS)
+    label = F.col(LABEL).cast("double").alias("label")
+    weighted = evaluate.class_weights(ready.select(KEY, label, "features", "is_valid"), "label")
+    fixed = cut(weighted)
+    return fixed.where("is_valid = 0"), fixed.where("is_valid = 1")
+
+
+def measured(scored: DataFrame, name: str, train: DataFrame) -> DataFrame:
+    """Accuracy and weighted measures, beside the share of the largest class."""
+    matrix = evaluate.confusion_matrix(scored, "label", "prediction", CLASSES)
+    floor = models.majority_share(train, "label")
+    return evaluate.classification_metrics(matrix).select(F.lit(name).alias("model"), "*", F.lit(floor).alias("majority"))
+
+
+def learner(name: str, build):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        train, valid = prepared(spark, sf)
+        return measured(build().fit(train).transform(valid), name, train)
+
+    return query
+
+
+def boosted(spark: SparkSession, sf: str) -> DataFrame:
+    """Early stopping on the validation rows."""
+    train, valid = prepared(spark, sf)
+    both = train.unionByName(valid).withColumn("held", F.col("is_valid") == 1)
+    model = models.boosted_trees({"maxIter": 8, "maxDepth": 4, "validationTol": 0.01}, weight="weight", validation="held").fit(both)
+    return measured(model.transform(valid), "boosted_trees", train)
+
+
+def stacked(spark: SparkSession, sf: str) -> tuple[ensemble.Stack, DataFrame, DataFrame]:
+    train, valid = prepared(spark, sf)
+    folded = cut(ranking.stratified_folds(train, "label", KEY, 3))
+    builders = {
+        "forest": lambda: models.random_forest({"numTrees": 10, "maxDepth": 6}),
+        "bayes": lambda: models.gaussian_nb(),
+        "logistic": lambda: models.logistic({"maxIter": 20}),
+    }
+    return ensemble.fit_stack(folded, "fold", builders, CLASSES), train, valid
+
+
+def stack(spark: SparkSession, sf: str) -> DataFrame:
+    model, train, valid = stacked(spark, sf)
+    return measured(model.transform(valid), "stack", train)
+
+
+def stack_importance(spark: SparkSession, sf: str) -> DataFrame:
+    model, train, _ = stacked(spark, sf)
+    return model.importance(train)
+
+
+def out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per key, none lost, probabilities adding up to one."""
+    train, _ = prepared(spark, sf)
+    folded = cut(ranking.stratified_folds(train, "label", KEY, 3))
+    scored = ensemble.out_of_fold(folded, "fold", {"bayes": lambda: models.gaussian_nb()})
+    total = F.aggregate("__pr_bayes", F.lit(0.0), lambda a, b: a + b)
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_distinct(KEY).alias("n_keys"),
+        F.count_if(F.abs(total - 1) < 1e-6).alias("n_sum_one"),
+    )
+
+
+def forest(**p):
+    return lambda: models.random_forest({"numTrees": 10, "maxDepth": 6, **p}, LABEL, "weight")
+
+
+SMALL = {"drop": ["BuildingStyle", "BuildingType"]}
+
+
+def train_job(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.train_job(listing(spark, sf), config(**SMALL), forest()).metrics
+
+
+def cv_job(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.cv_job(listing(spark, sf), config(wide=False, group_statistics=False, **SMALL), forest(), k=2)
+
+
+def predict_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Train, save, load, and score with the loaded state."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    rows = listing(spark, sf)
+    trained = jobs.train_job(rows, config(wide=False, group_statistics=False, **SMALL), forest())
+    path = scratch(spark, "trained")
+    jobs.save_trained(spark, trained, path)
+    loaded = jobs.load_trained(spark, path, RandomForestClassificationModel)
+    return jobs.predict_job(loaded, rows.drop(LABEL), proba=True).select(KEY, "Id", LABEL)
+
+
+def tuned(spark: SparkSession, sf: str) -> DataFrame:
+    rows = listing(spark, sf)
+    folds = jobs.fold_tables(rows, config(wide=False, group_statistics=False, **SMALL), 2)
+    space = {"numTrees": (5, 10), "maxDepth": [3, 5]}
+    try:
+        build = lambda p: models.random_forest(p, LABEL)
+        _, trials = search.param_search(spark, folds, build, search.draw(space, 2), LABEL)
+        return trials
+    finally:
+        jobs.release(folds)
+
+
+def importance(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = prepared(spark, sf)
+    return models.feature_importance(models.random_forest({"numTrees": 10, "maxDepth": 6}).fit(train), COLUMNS, train)
+
+
+def plain_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = numeric_rows(spark, sf, "YearListed", *COLUMNS)
+    return clean.fit_impute(rows, COLUMNS, "median").apply(rows)
+
+
+def adversarial(spark: SparkSession, sf: str) -> DataFrame:
+    rows = plain_rows(spark, sf)
+    return jobs.adversarial_validation(rows.where("YearListed < 1997"), rows.where("YearListed >= 1997"), KEY, COLUMNS)[0]
+
+
+def drift_weights(spark: SparkSession, sf: str) -> DataFrame:
+    rows = plain_rows(spark, sf)
+    train = rows.where("YearListed < 1997")
+    _, model = jobs.adversarial_validation(train, rows.where("YearListed >= 1997"), KEY, COLUMNS)
+    return jobs.drift_weights(train, model, COLUMNS).select(KEY, "drift_weight")
+
+
+def rfe(spark: SparkSession, sf: str) -> DataFrame:
+    rows = plain_rows(spark, sf).withColumn(LABEL, F.col(LABEL).cast("double"))
+    left = jobs.rfe(rows, COLUMNS, LABEL, 3, 0.3, {"numTrees": 5, "maxDepth": 4})
+    return spark.createDataFrame([(c,) for c in left], "feature string")
+
+
+def audit(spark: SparkSession, sf: str) -> DataFrame:
+    split = ranking.stratified_split(listing(spark, sf), LABEL, KEY)
+    trained = jobs.train_job(listing(spark, sf), config(wide=False, group_statistics=False, **SMALL), forest())
+    reports = jobs.audit_job(trained, split.where("is_valid = 0"), split.where("is_valid = 1"), ["UpperFloorArea", "PlotSize"], 2, 0.6)
+    lines = [t.agg(F.lit(n).alias("report"), F.count("*").alias("n_lines")) for n, t in reports.items()]
+    return reduce(DataFrame.unionByName, lines)
+
+
+def evaluate_job(spark: SparkSession, sf: str) -> DataFrame:
+    train, valid = prepared(spark, sf)
+    model = models.gaussian_nb().fit(train)
+    sets = {"train": model.transform(train), "valid": model.transform(valid)}
+    return evaluate.evaluate_sets(sets, "label", "prediction", CLASSES)
+
+
+def saved_state(spark: SparkSession, sf: str) -> DataFrame:
+    """An encoding applied after saving and loading its state."""
+    rows = listing(spark, sf, KEY, "RoofType", "HeatingType")
+    path = scratch(spark, "state")
+    encode.fit_frequency(rows, ["RoofType", "HeatingType"]).save(spark, path)
+    return rounded(Fitted.load(spark, path).apply(rows).select(KEY, "FE__RoofType", "FE__HeatingType"))
+
+
+SHARES = ", ".join(rs(f"CAST(count(*) OVER (PARTITION BY {c}) AS DOUBLE) / count(*) OVER ()", f"FE__{c}") for c in ("RoofType", "HeatingType"))
+
+
+def report(spark: SparkSession, sf: str) -> DataFrame:
+    from lintel.operators.profile import missing_profile
+
+    path = scratch(spark, "report")
+    write_report(missing_profile(listing(spark, sf)), path)
+    return rounded(spark.read.schema("column STRING, n_missing BIGINT, pct_missing DOUBLE").json(path))
+
+
+def streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Frequency encoding of the event stream, equal to the batch result."""
+    events = table(spark, sf, "events")
+    fitted = encode.fit_frequency(events, ["event_type"])
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(os.path.abspath(sf))
+    out, marks = scratch(spark, "stream"), scratch(spark, "marks")
+    query = apply_stream(stream.select("event_id", "event_type"), fitted, out, marks)
+    query.awaitTermination()
+    return rounded(spark.read.parquet(out).select("event_id", "FE__event_type"))
+
+
+def probabilities_sum(spark: SparkSession, sf: str) -> DataFrame:
+    train, valid = prepared(spark, sf)
+    scored = models.ridge_classifier().fit(train).transform(valid).withColumn("p", vector_to_array("probability"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, b: a + b)
+    return scored.agg(F.count("*").alias("n_rows"), F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_one"))
+
+
 def entries() -> dict:
-    return {}
+    w = "weight"
+    return {
+        "build_features": (build_features, features_sql()),
+        "build_features_robust": (features_robust, robust_sql()),
+        "logistic": (learner("logistic", lambda: models.logistic(weight=w)), None),
+        "random_forest": (learner("random_forest", lambda: models.random_forest({"numTrees": 20, "maxDepth": 8}, weight=w)), None),
+        "boosted_trees": (boosted, None),
+        "gaussian_nb": (learner("gaussian_nb", lambda: models.gaussian_nb(weight=w)), None),
+        "linear_svm": (learner("linear_svm", lambda: models.linear_svm(weight=w)), None),
+        "ridge_classifier": (learner("ridge", lambda: models.ridge_classifier(weight=w)), None),
+        "ridge_probabilities": (probabilities_sum, None),
+        "mlp": (learner("mlp", lambda: models.mlp([len(COLUMNS), 16, len(CLASSES)])), None),
+        "stack": (stack, None),
+        "stack_importance": (stack_importance, None),
+        "out_of_fold": (out_of_fold, None),
+        "param_search": (tuned, None),
+        "train_job": (train_job, None),
+        "cv_job": (cv_job, None),
+        "predict_job": (predict_job, None),
+        "feature_importance": (importance, None),
+        "adversarial_validation": (adversarial, None),
+        "drift_weights": (drift_weights, None),
+        "rfe": (rfe, None),
+        "audit_job": (audit, None),
+        "evaluate_job": (evaluate_job, None),
+        "save_load_fitted": (saved_state, WITH + f" SELECT {KEY}, {SHARES} FROM listing"),
+        "write_report": (report, None),
+        "stream_scoring": (streamed, f"SELECT event_id, {rs('CAST(count(*) OVER (PARTITION BY event_type) AS DOUBLE) / count(*) OVER ()', 'FE__event_type')} FROM events"),
+    }
