@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lintel.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+
+
 def registry() -> tuple[dict[str, Query], dict[str, str]]:
     from lintel.checks import audits, cleaning, derived_columns, evaluation, learning, profiles, tables
 
@@ -18,7 +24,7 @@ def registry() -> tuple[dict[str, Query], dict[str, str]]:
         for name, (query, sql) in module.entries().items():
             if name in queries:
                 raise ValueError(f"query {name} is registered twice")
-            queries[name] = query
+            queries[name] = _tuned(query)
             if sql:
                 oracles[name] = sql
     return queries, oracles

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lintel.operators.quantiles import column_quantiles
 from lintel.operators.state import State, lookup
 
 BLOCK = 4_096
@@ -87,9 +88,9 @@ def _cells(rows: DataFrame, x: list[str], n_targets: int, block: int) -> tuple[D
     cell: Column = F.lit(0)
     if bins > 1:
         points = [i / bins for i in range(1, bins)]
-        cuts = rows.agg(*[F.percentile_approx(x[i], points, 1000).alias(f"q{i}") for i in widest]).first()
+        cuts = column_quantiles(rows, [x[i] for i in widest], points)
         for i in widest:
-            below = sum(((F.col(x[i]) > q).cast("int") for q in cuts[f"q{i}"]), F.lit(0))
+            below = sum(((F.col(x[i]) > q).cast("int") for q in cuts[x[i]]), F.lit(0))
             cell = cell * (bins + 1) + F.when(F.col(x[i]).isNull(), bins).otherwise(below)
     # rows with the same coordinates missing share exact bounds; few rows need no such split
     patterns = max(1, MAX_CELLS // (bins + 1) ** len(widest)) if stats.n > block else 1

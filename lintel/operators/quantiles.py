@@ -1,10 +1,12 @@
-"""Exact quantiles without a per-value map in one task.
-
-Spark's `percentile` keeps every distinct value of a group in one buffer. Here a sketch names a
-narrow value range around each wanted rank; one more aggregation counts the rows between those
-ranges and the distinct values inside them. Counts decide whether a range holds the rank, so
-the answer is exact whatever the sketch's error. A range with too many distinct values is
-narrowed again. Both passes combine on the map side, so one large group is no problem.
+"""Exact quantiles by counting, without a per-value map or a sketch in one task.
+
+Spark's `percentile` keeps every distinct value of a group in one buffer, and a sketch of every
+task ends in one reducer. Here a wanted rank is closed in on by counts: rows per equal-width slice
+of a column's range, then of the slice that holds the rank, until few rows are left, whose values
+are then counted one by one. Each pass is a hash aggregation that combines on the map side and
+whose result is bounded by columns x slices, so a large group or a heavy value is no problem.
+A range shrinks by the number of slices per pass: three passes for smooth data, and one or two
+more where far outliers stretch the range.
 """
 
 from __future__ import annotations
@@ -17,54 +19,55 @@ from pyspark.sql import functions as F
 
 from lintel.operators.state import State, lookup
 
-ACCURACY = 10_000
-MAX_CANDIDATES = 200_000
-WIDEST = (-8.9e307, 8.9e307)
+MAX_CANDIDATES = 100_000
+MAX_SLICES = 2_048
+GROUP_SLICES = 256
+
+Range = tuple[float, float]
+Step = tuple[int, float, float, int]  # zone, smallest value, largest value, rows
 
 
 def column_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], accuracy: int = ACCURACY
+    df: DataFrame, columns: list[str], probs: list[float], most: int | None = None, slices: int | None = None
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated exact quantiles per column; nulls are skipped."""
-    margin = 2.0 / accuracy
-    points = sorted({min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)})
-    sketch = df.agg(
+    most = MAX_CANDIDATES if most is None else most
+    names = dict.fromkeys(columns)
+    spans = df.agg(
         *[
             F.struct(
-                F.count(c).alias("n"),
-                F.percentile_approx(F.col(c).cast("double"), points, accuracy).alias("q"),
+                F.count(c).alias("n"), F.min(F.col(c).cast("double")).alias("lo"), F.max(F.col(c).cast("double")).alias("hi")
             ).alias(f"s{i}")
-            for i, c in enumerate(columns)
+            for i, c in enumerate(names)
         ]
     ).first()
-    sizes = {c: sketch[f"s{i}"].n for i, c in enumerate(columns)}
-    ranges: dict[str, list[tuple[float, float]]] = {}
-    for i, c in enumerate(columns):
-        if not sizes[c]:
-            continue
-        at = dict(zip(points, sketch[f"s{i}"].q, strict=True))
-        wanted = [
-            (at[min(1.0, max(0.0, p - margin))], at[min(1.0, max(0.0, p + margin))]) for p in probs
-        ]
-        ranges[c] = _merge(wanted)
-
-    done: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns if not sizes[c]}
+    sizes = {c: spans[f"s{i}"].n for i, c in enumerate(names)}
+    done: dict[str, list[float | None]] = {c: [None] * len(probs) for c in names if not sizes[c]}
+    ranges: dict[str, list[Range]] = {}
+    inside: dict[str, int] = {}
+    for i, c in enumerate(names):
+        if sizes[c]:
+            span = spans[f"s{i}"]
+            ranges[c], inside[c] = [(span.lo, span.hi)], sizes[c]
     while ranges:
-        ladders = _ladders(df, ranges)
-        again: dict[str, list[tuple[float, float]]] = {}
-        for c, found in ladders.items():
-            values, narrower = _read_off(found, sizes[c], probs)
+        total = sum(len(r) for r in ranges.values())
+        by_value = sum(inside[c] for c in ranges) <= most
+        ladders = _ladders(df, ranges, None if by_value else slices or max(8, min(MAX_SLICES, most // (2 * total))))
+        again: dict[str, list[Range]] = {}
+        for c, ladder in ladders.items():
+            values, narrower = _read_off(ladder, sizes[c], probs)
             if narrower:
                 again[c] = _merge(narrower)
+                inside[c] = sum(n for _, lo, hi, n in ladder if any(a <= lo and hi <= b and a < b for a, b in again[c]))
             else:
                 done[c] = values
         ranges = again
     return {c: done[c] for c in columns}
 
 
-def _merge(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
+def _merge(ranges: list[Range]) -> list[Range]:
     """Disjoint ranges in ascending order."""
-    merged: list[tuple[float, float]] = []
+    merged: list[Range] = []
     for lo, hi in sorted(ranges):
         if merged and lo <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
@@ -73,13 +76,11 @@ def _merge(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return merged
 
 
-def _ladders(
-    df: DataFrame, ranges: dict[str, list[tuple[float, float]]]
-) -> dict[str, list[tuple[int, float | None, float | None, int]]]:
-    """Per column, in ascending order: (zone, value or None, upper end or None, rows).
+def _ladders(df: DataFrame, ranges: dict[str, list[Range]], slices: int | None) -> dict[str, list[Step]]:
+    """Per column, in ascending order, the rows between the ranges and inside them.
 
-    Even zones lie between ranges and come as one count. Odd zones are ranges and come value by
-    value; a range with more than its share of MAX_CANDIDATES comes as equal-width slices.
+    Even zones lie between ranges and come as one step. Odd zones are ranges and come as steps
+    of one slice each, or of one value each when `slices` is None.
     """
     names = list(ranges)
     cells = F.array(
@@ -90,19 +91,25 @@ def _ladders(
     long = (
         df.select(F.inline(cells)).where("v IS NOT NULL")
         .select("i", "v", F.get(ends, F.col("i")).alias("e"))
-        .select("i", "v", _zone(F.col("v"), F.col("e"), most).alias("z"))
+        .select("i", "v", "e", _zone(F.col("v"), F.col("e"), most).alias("z"))
     )
-    inside = F.when(F.col("z") % 2 == 1, F.col("v"))
-    counted = long.groupBy("i", "z", inside.alias("v")).agg(F.count("*").alias("n"))
-    head = counted.limit(MAX_CANDIDATES + 1).toArrow()
-    if head.num_rows > MAX_CANDIDATES:
-        slices = max(4, MAX_CANDIDATES // (8 * sum(len(r) for r in ranges.values())))
-        head = _sliced(long, ranges, slices).toArrow()
-    out: dict[str, list[tuple[int, float | None, float | None, int]]] = {c: [] for c in ranges}
-    for row in head.to_pylist():
-        out[names[row["i"]]].append((row["z"], row["v"], row.get("w"), row["n"]))
-    for rows in out.values():
-        rows.sort(key=lambda r: (r[0], -math.inf if r[1] is None else r[1]))
+    lo, hi = F.get("e", F.col("z") - 1), F.get("e", F.col("z"))
+    if slices is None:
+        place = F.col("v")
+    else:
+        # halves first: a range may be wider than the largest double
+        width = hi / slices - lo / slices
+        place = F.when(width > 0, F.floor(F.col("v") / width - lo / width)).otherwise(F.lit(0).cast("long"))
+    slot = F.when(F.col("z") % 2 == 1, place)
+    counted = long.groupBy("i", "z", slot.alias("s")).agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")
+    )
+    out: dict[str, list[Step]] = {c: [] for c in names}
+    # at most MAX_CANDIDATES lines: so many values, or columns x slices
+    for r in counted.toArrow().to_pylist():
+        out[names[r["i"]]].append((r["z"], r["lo"], r["hi"], r["n"]))
+    for steps in out.values():
+        steps.sort()
     return out
 
 
@@ -115,58 +122,33 @@ def _zone(v: Column, ends: Column, ranges: int) -> Column:
     return zone
 
 
-def _sliced(long: DataFrame, ranges: dict[str, list[tuple[float, float]]], slices: int) -> DataFrame:
-    """Counts with smallest and largest value per equal-width slice of each range."""
-    slot = F.lit(None).cast("long")
-    for i, found in enumerate(ranges.values()):
-        for j, (lo, hi) in enumerate(found):
-            width = (hi - lo) / slices or 1.0
-            here = (F.col("i") == i) & (F.col("z") == 2 * j + 1)
-            slot = F.when(here, F.floor((F.col("v") - lo) / width)).otherwise(slot)
-    low = F.when(F.col("z") % 2 == 1, F.min("v"))
-    high = F.when(F.col("z") % 2 == 1, F.max("v"))
-    return (
-        long.groupBy("i", "z", slot.alias("s"))
-        .agg(low.alias("v"), high.alias("w"), F.count("*").alias("n"))
-        .drop("s")
-    )
-
-
-def _read_off(
-    ladder: list[tuple[int, float | None, float | None, int]], size: int, probs: list[float]
-) -> tuple[list[float | None], list[tuple[float, float]]]:
+def _read_off(ladder: list[Step], size: int, probs: list[float]) -> tuple[list[float | None], list[Range]]:
     """Quantile values, and the ranges to look into next where a rank is not pinned down."""
     wanted = []
     for p in probs:
         rank = (size - 1) * p
         wanted.append((math.floor(rank), math.ceil(rank), rank - math.floor(rank)))
     values: dict[int, float] = {}
-    narrower: list[tuple[float, float]] = []
-    for r in sorted({r for lo, hi, _ in wanted for r in (lo, hi)}):
-        below = 0
-        for zone, lo, hi, rows in ladder:
-            if below + rows > r:
-                if zone % 2 == 0:  # outside every range: widen to the whole column
-                    narrower.append(WIDEST)
-                elif hi is None or lo == hi:
-                    values[r] = lo
-                else:
-                    narrower.append((lo, hi))
-                break
+    narrower: list[Range] = []
+    ranks = sorted({r for lo, hi, _ in wanted for r in (lo, hi)})
+    below = 0
+    steps = iter(ladder)
+    _, lo, hi, rows = next(steps)
+    for r in ranks:
+        while below + rows <= r:
             below += rows
+            _, lo, hi, rows = next(steps)
+        if lo == hi:
+            values[r] = lo
+        else:
+            narrower.append((lo, hi))
     if narrower:
-        pinned = [(v, v) for v in values.values()]
-        return [], narrower + pinned
+        return [], narrower + [(v, v) for v in values.values()]
     return [values[lo] + (values[hi] - values[lo]) * part for lo, hi, part in wanted], []
 
 
 def group_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    columns: list[str],
-    probs: list[float],
-    accuracy: int = ACCURACY,
-    max_candidates: int = MAX_CANDIDATES,
+    df: DataFrame, keys: list[str], columns: list[str], probs: list[float], most: int = MAX_CANDIDATES
 ) -> DataFrame:
     """Exact quantiles per group: keys, column, n, and one column q0, q1, ... per probability."""
     long = df.select(
@@ -176,86 +158,51 @@ def group_quantiles(
         ])),
     ).where("v IS NOT NULL")
     by = [*keys, "column"]
-    parts = [
-        _group_quantile(long, by, p, accuracy, max_candidates).withColumnRenamed("q", f"q{i}")
-        for i, p in enumerate(probs)
-    ]
+    parts = [_group_quantile(long, by, p, most).withColumnRenamed("q", f"q{i}") for i, p in enumerate(probs)]
     out = parts[0]
     for part in parts[1:]:
         out = lookup(out, State.of(part.drop("n")), {k: k for k in by})
     return out
 
 
-def _group_quantile(long: DataFrame, by: list[str], p: float, accuracy: int, most: int) -> DataFrame:
-    margin = 2.0 / accuracy
-    ends = [max(0.0, p - margin), min(1.0, p + margin)]
-    sketch = long.groupBy(*by).agg(
-        F.count("*").alias("n"), F.percentile_approx("v", ends, accuracy).alias("q")
-    )
-    ranges = State.of(
-        sketch.select(*by, "n", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi")), count="n"
-    )
+def _group_quantile(long: DataFrame, by: list[str], p: float, most: int) -> DataFrame:
     on = {k: k for k in by}
     rank = (F.col("n") - 1) * F.lit(p)
-    while True:
-        placed = lookup(long, ranges, on)
-        state = _grouped_counts(placed, by).agg(F.max(_lost(rank)).alias("lost"), F.max(_large(most)).alias("large")).first()
-        if not (state.lost or state.large):
-            break
-        ranges = _narrow(placed, by, rank, accuracy, most)
-    zone = F.when(F.col("v") < F.col("lo"), 0).when(F.col("v") <= F.col("hi"), 1).otherwise(2)
-    counted = (
-        placed.select(*by, "n", zone.alias("z"), "v")
-        .groupBy(*by, "n", "z", F.when(F.col("z") == 1, F.col("v")).alias("v"))
-        .agg(F.count("*").alias("rows"))
-    )
-    # at most `most` distinct values of a group are left
-    upto = F.sum("rows").over(W.partitionBy(*by).orderBy("z", "v"))
-    steps = counted.select("*", upto.alias("upto"), rank.alias("rank"))
-
-    def value_at(r: Column) -> Column:
-        return F.max(F.when((F.col("upto") > r) & (F.col("upto") - F.col("rows") <= r), F.col("v")))
-
-    low, high = value_at(F.floor("rank")), value_at(F.ceil("rank"))
-    return steps.groupBy(*by, "n").agg(
-        (low + (high - low) * F.max(F.col("rank") - F.floor("rank"))).alias("q")
+    first = long.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ranges = State.of(
+        first.select("*", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside")), count="n"
     )
-
-
-def _grouped_counts(placed: DataFrame, by: list[str], *more: Column) -> DataFrame:
-    return placed.groupBy(*by, "n", "lo", "hi").agg(
-        F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(_inside()).alias("within"), *more
+    while ranges.df.where((F.col("inside") > most) & (F.col("lo") < F.col("hi"))).limit(1).count():
+        ranges = State.of(_narrow(lookup(long, ranges, on), by, rank), count="n")
+    counted = (
+        lookup(long, ranges, on).where(F.col("v").between(F.col("lo"), F.col("hi")))
+        .groupBy(*by, "n", "below", "v").agg(F.count("*").alias("rows"))
     )
+    # at most `most` values of a group are left
+    upto = F.col("below") + F.sum("rows").over(W.partitionBy(*by).orderBy("v"))
+    steps = counted.select("*", upto.alias("upto"))
+    low, high = (F.max(F.when(_holds(r), F.col("v"))) for r in (F.floor(rank), F.ceil(rank)))
+    return steps.groupBy(*by, "n").agg((low + (high - low) * F.max(rank - F.floor(rank))).alias("q"))
 
 
-def _inside() -> Column:
-    return F.col("v").between(F.col("lo"), F.col("hi"))
-
+def _holds(r: Column) -> Column:
+    return (F.col("upto") > r) & (F.col("upto") - F.col("rows") <= r)
 
-def _lost(rank: Column) -> Column:
-    """The wanted rank lies outside the range."""
-    return (F.col("below") > F.floor(rank)) | (F.col("below") + F.col("within") <= F.ceil(rank))
 
-
-def _large(most: int) -> Column:
-    return (F.col("within") > most) & (F.col("lo") < F.col("hi"))
-
-
-def _narrow(placed: DataFrame, by: list[str], rank: Column, accuracy: int, most: int) -> State:
-    """New ranges: all values where the rank was lost, a sketched part where there are too many."""
-    steps = 200
-    grid = [i / steps for i in range(steps + 1)]
-    pad = 1 + 2 * steps // accuracy
-    fresh = _grouped_counts(
-        placed, by, F.percentile_approx(F.when(_inside(), F.col("v")), grid, accuracy).alias("q")
+def _narrow(placed: DataFrame, by: list[str], rank: Column) -> DataFrame:
+    """Each group's range cut down to the slices that hold its wanted rank."""
+    width = F.col("hi") / GROUP_SLICES - F.col("lo") / GROUP_SLICES
+    slot = F.when(width > 0, F.floor(F.col("v") / width - F.col("lo") / width)).otherwise(0)
+    counted = (
+        placed.where(F.col("v").between(F.col("lo"), F.col("hi")))
+        .groupBy(*by, "n", "below", slot.alias("slot"))
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("rows"))
     )
-    at = F.floor((rank - F.col("below")) / F.col("within") * steps).cast("int")
-    low = F.get("q", F.greatest(at - pad, F.lit(0)))
-    high = F.get("q", F.least(at + pad + 1, F.lit(steps)))
-
-    def end(widest: float, cut_down: Column, old: str) -> Column:
-        return F.when(_lost(rank), F.lit(widest)).when(_large(most), cut_down).otherwise(F.col(old)).alias(old)
-
-    return State.of(
-        fresh.select(*by, "n", end(WIDEST[0], low, "lo"), end(WIDEST[1], high, "hi")), count="n"
+    upto = F.col("below") + F.sum("rows").over(W.partitionBy(*by).orderBy("slot"))  # slices of a group
+    steps = counted.select(*by, "n", "lo", "hi", "rows", upto.alias("upto"))
+    floor, ceil = _holds(F.floor(rank)), _holds(F.ceil(rank))
+    below = F.max(F.when(floor, F.col("upto") - F.col("rows")))
+    return steps.groupBy(*by, "n").agg(
+        F.max(F.when(floor, F.col("lo"))).alias("lo"), F.max(F.when(ceil, F.col("hi"))).alias("hi"),
+        below.alias("below"), (F.max(F.when(ceil, F.col("upto"))) - below).alias("inside"),
     )

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from lintel.functions.derived import DERIVED, INPUTS, add_derived, ensure_derived, fit_plot_edges
 from lintel.functions.nullsafe import blank_or_null_flag, log1p_clip, to_category
@@ -179,20 +180,25 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
     classes = config.classes or label_classes(df, label)
     business = config.business if config.business in df.columns else None
 
-    plot_edges = fit_plot_edges(df) if derived else None
-    made = add_derived(df, DERIVED, plot_edges) if derived else ensure_derived(df)
-    medians, flags, scale = _numeric_fit(df, numeric, log, config)
-    derived_medians = {c: q[0] for c, q in column_quantiles(made, derived, [0.5]).items()} if derived else {}
-
     keyed = [c for c in text if c in {*frequency, *target, *groups}]
     keyed += [c for c in groups if c not in keyed]
-    states, prior = _keyed_fit(made, keyed, grouped, label, classes, config.alpha)
-    group_medians = _group_medians(made, groups, grouped, states)
+    # read several times below; recomputed where an executor is lost
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        plot_edges = fit_plot_edges(df) if derived else None
+        made = add_derived(df, DERIVED, plot_edges) if derived else ensure_derived(df)
+        medians, flags, scale = _numeric_fit(df, numeric, log, config)
+        derived_medians = {c: q[0] for c, q in column_quantiles(made, derived, [0.5]).items()} if derived else {}
+        states, prior = _keyed_fit(made, keyed, grouped, label, classes, config.alpha)
+        group_medians = _group_medians(made, groups, grouped, states)
+        one_hot = fit_one_hot(df, one_hot_columns).params["values"] if one_hot_columns else {}
+    finally:
+        df.unpersist()
 
     return Features(
         {
             "key": key, "label": label, "carry": carry, "numeric": numeric, "flags": flags, "log": log,
-            "medians": medians, "scale": scale, "one_hot": fit_one_hot(df, one_hot_columns).params["values"] if one_hot_columns else {},
+            "medians": medians, "scale": scale, "one_hot": one_hot,
             "business": business, "derived": derived, "derived_medians": derived_medians,
             "plot_edges": plot_edges, "frequency": frequency, "target": target, "prior": prior,
             "keyed": keyed, "groups": groups, "grouped": grouped, "group_medians": group_medians,

@@ -27,6 +27,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Keep generated code compilable: a method above 8000 bytes is only interpreted by the JVM.
+
+    Wide projections over many derived columns would otherwise be fused into one such method;
+    with this limit Spark falls back to per-operator code, which it splits into small methods.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition by key when a source has fewer splits than the cluster has cores.
 
