@@ -11,6 +11,7 @@ from lintel.operators import evaluate as E
 from lintel.operators import ranking
 from lintel.plans import ensemble
 from lintel.plans.models import softmax
+from lintel.session import cut
 from lintel.sources.listing import CLASSES, listing, table
 
 # Three rule predictors, in both engines.
@@ -90,7 +91,7 @@ def fold_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def combined(spark: SparkSession, sf: str) -> DataFrame:
-    matrix = by_fold(spark, sf)
+    matrix = cut(by_fold(spark, sf))  # folds x classes x classes
     reports = E.class_report(matrix, ["fold"])
     accuracies = E.classification_metrics(matrix, ["fold"]).select("fold", "accuracy")
     return rounded(E.combine_reports(reports, accuracies))

@@ -64,6 +64,9 @@ def nearest(
     placed, boxes = _cells(rows, x, len(names), block)
     if boxes.empty:
         return _empty(queries, key)
+    # small tables still go to all cores; blocks never grow beyond the given size
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    block = min(block, max(_STEP, math.ceil(int(boxes["n"].sum()) / cores)))
     sent = _route(asks, placed, boxes, x, len(names), k + exclude_self, block)
     return _search(*sent, key, x, names, k, exclude_self)
 

@@ -33,6 +33,8 @@ def column_quantiles(
     """Linear-interpolated exact quantiles per column; nulls are skipped."""
     most = MAX_CANDIDATES if most is None else most
     names = dict.fromkeys(columns)
+    if not names:
+        return {}
     spans = df.agg(
         *[
             F.struct(

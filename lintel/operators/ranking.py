@@ -33,7 +33,7 @@ def exact_rank(
     """
     hashed = df.withColumn("__h", order)
     if digits is None:
-        digits = _digits(df.count())
+        digits = prefix_digits(df.count())
     bucketed = hashed.withColumn("__b", F.substring("__h", 1, digits))
     sizes = bucketed.groupBy(*by, "__b").agg(F.count("*").alias("__n"))
     starts = _starts(sizes, by, digits)
@@ -43,7 +43,7 @@ def exact_rank(
     return ranked.withColumn(name, F.col("__start") + within).drop("__h", "__b", "__start")
 
 
-def _digits(rows: int) -> int:
+def prefix_digits(rows: int) -> int:
     digits = 2
     while rows > BUCKET_ROWS * 16**digits and digits < 10:
         digits += 1
@@ -175,9 +175,19 @@ def dense_position(df: DataFrame, key: str, name: str = "Id") -> DataFrame:
     return numbered.withColumn(name, place).drop("__m", "__q", "__start")
 
 
-def permuted_column(df: DataFrame, column: str, key: str, seed: int) -> DataFrame:
-    """Column values dealt out anew: the row at place i by key gets the value at place i by md5."""
-    seats = exact_rank(df.select(key), [], F.md5(F.col(key).cast("string").cast("binary")), key, "__i")
+def seats(df: DataFrame, key: str, digits: int | None = None) -> DataFrame:
+    """Place of each key in an order that has nothing to do with its values."""
+    return exact_rank(df.select(key), [], F.md5(F.col(key).cast("string").cast("binary")), key, "__i", digits)
+
+
+def permuted_column(
+    df: DataFrame, column: str, key: str, seed: int, places: DataFrame | None = None, digits: int | None = None
+) -> DataFrame:
+    """Column values dealt out anew: the row at place i by `seats` gets the value at place i by md5.
+
+    `places` and `digits` save work when one table is permuted many times.
+    """
+    places = seats(df, key, digits) if places is None else places
     draw = F.md5(F.concat(F.lit(f"{seed}:{column}:"), F.col(key).cast("string")).cast("binary"))
-    values = exact_rank(df.select(key, column), [], draw, key, "__i").drop(key)
-    return df.drop(column).join(seats.join(values, "__i").drop("__i"), key)
+    values = exact_rank(df.select(key, column), [], draw, key, "__i", digits).drop(key)
+    return df.drop(column).join(places.join(values, "__i").drop("__i"), key)

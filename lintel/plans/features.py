@@ -187,8 +187,11 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
     try:
         plot_edges = fit_plot_edges(df) if derived else None
         made = add_derived(df, DERIVED, plot_edges) if derived else ensure_derived(df)
-        medians, flags, scale = _numeric_fit(df, numeric, log, config)
-        derived_medians = {c: q[0] for c, q in column_quantiles(made, derived, [0.5]).items()} if derived else {}
+        # one search for the medians of raw and derived columns, where names do not clash
+        raw = [c for c in numeric if c not in derived] if config.impute == "median" else []
+        mids = {c: q[0] for c, q in column_quantiles(made, [*raw, *derived], [0.5]).items()}
+        medians, flags, scale = _numeric_fit(df, numeric, log, config, {c: mids[c] for c in raw})
+        derived_medians = {c: mids[c] for c in derived}
         states, prior = _keyed_fit(made, keyed, grouped, label, classes, config.alpha)
         group_medians = _group_medians(made, groups, grouped, states)
         one_hot = fit_one_hot(df, one_hot_columns).params["values"] if one_hot_columns else {}
@@ -209,7 +212,7 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
 
 
 def _numeric_fit(
-    df: DataFrame, numeric: list[str], log: list[str], config: FeatureConfig
+    df: DataFrame, numeric: list[str], log: list[str], config: FeatureConfig, medians: dict[str, float | None]
 ) -> tuple[dict, list[str], dict]:
     """Medians, flagged columns, and centre and spread of the imputed (and logged) columns.
 
@@ -223,7 +226,8 @@ def _numeric_fit(
         medians, flags = {}, numeric
         columns = [F.col(f"__knn_{c}").alias(c) for c in numeric]
     else:
-        medians = {c: q[0] for c, q in column_quantiles(df, numeric, [0.5]).items()}
+        rest = [c for c in numeric if c not in medians]
+        medians = {**medians, **{c: q[0] for c, q in column_quantiles(df, rest, [0.5]).items()}}
         flags = columns_with_nulls(df, numeric)
         filled = df
         columns = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in numeric]
