@@ -211,12 +211,8 @@ def tuned(spark: SparkSession, sf: str) -> DataFrame:
     rows = listing(spark, sf)
     folds = jobs.fold_tables(rows, config(wide=False, group_statistics=False, **SMALL), 2)
     space = {"numTrees": (5, 10), "maxDepth": [3, 5]}
-    try:
-        build = lambda p: models.random_forest(p, LABEL)
-        _, trials = search.param_search(spark, folds, build, search.draw(space, 2), LABEL)
-        return trials
-    finally:
-        jobs.release(folds)
+    _, trials = search.param_search(spark, folds, lambda p: models.random_forest(p, LABEL), search.draw(space, 2), LABEL)
+    return trials
 
 
 def importance(spark: SparkSession, sf: str) -> DataFrame:

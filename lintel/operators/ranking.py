@@ -37,7 +37,7 @@ def exact_rank(
     bucketed = hashed.withColumn("__b", F.substring("__h", 1, digits))
     sizes = bucketed.groupBy(*by, "__b").agg(F.count("*").alias("__n"))
     starts = _starts(sizes, by, digits)
-    # one shuffle by (by, bucket) serves the join and the window
+    # a broadcast join while the buckets are few; then the window is the only shuffle of the rows
     ranked = lookup(bucketed, State.of(starts), {**{b: b for b in by}, "__b": "__b"})
     within = F.row_number().over(W.partitionBy(*by, "__b").orderBy("__h", key))
     return ranked.withColumn(name, F.col("__start") + within).drop("__h", "__b", "__start")

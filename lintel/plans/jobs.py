@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
@@ -89,40 +90,40 @@ def predict_job(trained: Trained, df: DataFrame, proba: bool = False) -> DataFra
     return numbered.join(probs, trained.key)
 
 
-def fold_tables(df: DataFrame, config: FeatureConfig, k: int = 3, seed: int = 42, weight_power: float | None = None) -> list:
-    """(train, valid) feature tables per fold, features learnt on the fold's training rows only."""
+def fold_tables(
+    df: DataFrame, config: FeatureConfig, k: int = 3, seed: int = 42, weight_power: float | None = None
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(train, valid) feature tables fold by fold, features learnt on the fold's training rows only.
+
+    A fold is held while it is in use and let go when the next one is asked for.
+    """
     folded = cut(ranking.stratified_folds(df, config.label, config.key, k, seed))
-    out = []
     for f in range(k):
         train, valid = (t.drop("fold") for t in ranking.fold_rows(folded, f))
         fitted, ready = prepare(train, config, weight_power)
         other = assemble(fitted.apply(valid), fitted.names).select(config.key, config.label, "features")
-        out.append((ready.persist(HELD), other.persist(HELD)))
-    return out
-
-
-def release(folds: list) -> None:
-    for train, valid in folds:
-        train.unpersist()
-        valid.unpersist()
+        held = ready.persist(HELD), other.persist(HELD)
+        try:
+            yield held
+        finally:
+            for table in held:
+                table.unpersist()
 
 
-def cv_job(df: DataFrame, config: FeatureConfig, build: Build, k: int = 3, seed: int = 42, weight_power: float | None = 1.0) -> DataFrame:
+def cv_job(
+    df: DataFrame, config: FeatureConfig, build: Build, k: int = 3, seed: int = 42, weight_power: float | None = 1.0
+) -> DataFrame:
     """Mean, std, min and max of the validation metrics over folds."""
-    folds = fold_tables(df, config, k, seed, weight_power)
-    try:
-        scored = [
-            build().fit(train).transform(valid).select(config.key, F.lit(f).alias("fold"), config.label, "prediction")
-            for f, (train, valid) in enumerate(folds)
-        ]
-        both = scored[0]
-        for more in scored[1:]:
-            both = both.unionByName(more)
-        matrix = evaluate.confusion_matrix(both, config.label, "prediction", config.classes, ["fold"])
-        rows = evaluate.metric_rows(evaluate.classification_metrics(matrix, ["fold"]), ["fold"])
-        return cut(evaluate.aggregate_folds(rows))
-    finally:
-        release(folds)
+    counts = [
+        cut(
+            evaluate.confusion_matrix(build().fit(train).transform(valid), config.label, "prediction", config.classes)
+            .withColumn("fold", F.lit(f))
+        )
+        for f, (train, valid) in enumerate(fold_tables(df, config, k, seed, weight_power))
+    ]
+    matrix = reduce(DataFrame.unionByName, counts)
+    rows = evaluate.metric_rows(evaluate.classification_metrics(matrix, ["fold"]), ["fold"])
+    return evaluate.aggregate_folds(rows)
 
 
 def adversarial_validation(
