@@ -51,17 +51,17 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Rows and percentage per class, in class order."""
     counts = df.groupBy(target).agg(F.count("*").alias("n"))
-    return counts.select(target, "n", (F.col("n") * 100.0 / _total(counts)).alias("pct")).orderBy(target)
+    return counts.select(target, "n", (F.col("n") * 100.0 / _total()).alias("pct")).orderBy(target)
 
 
-def _total(counts: DataFrame, n: str = "n") -> Column:
+def _total(n: str = "n") -> Column:
     """Sum over an already aggregated table of one row per class."""
     return F.sum(n).over(W.partitionBy(F.lit(0)))
 
 
 def class_prior(df: DataFrame, target: str) -> DataFrame:
     counts = df.groupBy(target).agg(F.count("*").alias("n"))
-    return counts.select(target, (F.col("n") / _total(counts)).alias("prior")).orderBy(target)
+    return counts.select(target, (F.col("n") / _total()).alias("prior")).orderBy(target)
 
 
 def cardinality(df: DataFrame, columns: list[str], approx: bool = False) -> DataFrame:
