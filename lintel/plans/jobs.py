@@ -32,16 +32,17 @@ class Trained:
     metrics: DataFrame
     label: str
     key: str
+    donors: DataFrame | None = None  # fitted rows, where neighbours fill the nulls
 
     def score(self, df: DataFrame) -> DataFrame:
         """Rows with probability and prediction, from the stored state only."""
-        return self.model.transform(assemble(self.features.apply(df), self.features.names))
+        return self.model.transform(assemble(self.features.apply(df, self.donors), self.features.names))
 
 
 def prepare(df: DataFrame, config: FeatureConfig, weight_power: float | None = 1.0) -> tuple[Features, DataFrame]:
     """Fitted features and the assembled training rows with class weights."""
     fitted = fit_features(df, config)
-    ready = assemble(fitted.apply(df), fitted.names)
+    ready = assemble(fitted.apply(df, df), fitted.names)
     ready = ready.select(config.key, F.col(config.label).cast("double").alias(config.label), "features")
     if weight_power is not None:
         ready = evaluate.class_weights(ready, config.label, weight_power)
@@ -58,7 +59,7 @@ def train_job(
     ready = ready.persist(HELD)
     try:
         model = build().fit(ready)
-        trained = Trained(fitted, model, None, config.label, config.key)
+        trained = Trained(fitted, model, None, config.label, config.key, train if config.impute == "knn" else None)
         sets = {"train": model.transform(ready), "valid": trained.score(valid)}
         trained.metrics = cut(evaluate.evaluate_sets(sets, config.label, "prediction", config.classes))
     finally:
@@ -71,13 +72,18 @@ def save_trained(spark, trained: Trained, path: str) -> None:
     trained.features.save(spark, f"{path}/features")
     trained.model.write().overwrite().save(f"{path}/model")
     tables.write_report(trained.metrics, f"{path}/metrics")
+    if trained.donors is not None:
+        kept = [trained.key, *trained.features.params["numeric"]]
+        trained.donors.select(kept).write.mode("overwrite").parquet(f"{path}/donors")
 
 
 def load_trained(spark, path: str, model_class) -> Trained:
     features = Features.load(spark, f"{path}/features")
     model = model_class.load(f"{path}/model")
     metrics = spark.read.json(f"{path}/metrics")
-    return Trained(features, model, metrics, features.params["label"], features.params["key"])
+    knn = features.params["impute"] == "knn"
+    donors = spark.read.parquet(f"{path}/donors") if knn else None
+    return Trained(features, model, metrics, features.params["label"], features.params["key"], donors)
 
 
 def predict_job(trained: Trained, df: DataFrame, proba: bool = False) -> DataFrame:
@@ -101,7 +107,7 @@ def fold_tables(
     for f in range(k):
         train, valid = (t.drop("fold") for t in ranking.fold_rows(folded, f))
         fitted, ready = prepare(train, config, weight_power)
-        other = assemble(fitted.apply(valid), fitted.names).select(config.key, config.label, "features")
+        other = assemble(fitted.apply(valid, train), fitted.names).select(config.key, config.label, "features")
         held = ready.persist(HELD), other.persist(HELD)
         try:
             yield held
@@ -164,7 +170,8 @@ def rfe(df: DataFrame, names: list[str], label: str, keep: int, step: float = 0.
 def audit_job(trained: Trained, train: DataFrame, valid: DataFrame, columns: list[str], repeats: int = 2, threshold: float = 0.95) -> dict[str, DataFrame]:
     """Importance, permutation importance, drift and redundancy, from the stored state."""
     key, label, names = trained.key, trained.label, trained.features.names
-    train_features, valid_features = trained.features.apply(train), cut(trained.features.apply(valid))
+    donors = trained.donors
+    train_features, valid_features = trained.features.apply(train, donors), cut(trained.features.apply(valid, donors))
 
     def score(df: DataFrame) -> DataFrame:
         return trained.model.transform(assemble(df, names))

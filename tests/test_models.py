@@ -58,3 +58,13 @@ def test_audit_reports(spark):
 def test_drift_weights_are_probabilities(spark):
     got = QUERIES["drift_weights"](spark, SMALL)
     assert got.where("drift_weight < 0 OR drift_weight > 1").count() == 0
+
+
+def test_train_with_neighbour_imputation(spark, tmp_path):
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    rows = listing(spark, SMALL).select("listing_id", LABEL, "PlotSize", "UpperFloorArea", "UnfinishedBasementArea", "RoofType")
+    trained = jobs.train_job(rows, config(impute="knn", wide=False, group_statistics=False), forest())
+    jobs.save_trained(spark, trained, str(tmp_path / "t"))
+    loaded = jobs.load_trained(spark, str(tmp_path / "t"), RandomForestClassificationModel)
+    assert jobs.predict_job(loaded, rows.drop(LABEL)).count() == 6000
