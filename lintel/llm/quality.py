@@ -101,7 +101,8 @@ def calibrate(found: np.ndarray, labels: np.ndarray, ridge: float) -> tuple[np.n
 
 def scores(model: QualityModel, found: np.ndarray) -> np.ndarray:
     z = ((design(found) - model.centre) / model.spread) @ model.weights[:-1] + model.weights[-1]
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    # Rounded, so that a text's score does not depend on the batch that it is in.
+    return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 9)
 
 
 def dictionary(texts: list[str], common: set[str], settings: Settings) -> bytes:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lintel.llm import bpe, exact, idfile, language, multiset, packing, pii, quality, simhash
+from lintel.llm import bpe, exact, idfile, language, multiset, packing, pii, quality, simhash, warc
 from lintel.llm.vocabulary import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_token_id_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.through_file(documents(spark, sf_dir), default_path("byte_bpe_50k.json"), end=0)
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")), ["page_id"])
+
+
 def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -55,6 +59,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entries() -> dict[str, tuple[Query, str | None]]:
     return {
         "op1_token_id_file": (op1_token_id_file, None),
+        "op2_warc_derivatives": (op2_warc_derivatives, None),
         "op3_compression_quality": (op3_compression_quality, None),
         "op4_kernel_language": (op4_kernel_language, None),
         "op5_multiset_fingerprints": (op5_multiset_fingerprints, None),
