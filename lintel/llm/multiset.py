@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from lintel.llm.common import row_key, stored, whole_text
 
-LANES = 64
+LANES = 32
 POWER = 48
 #: A line, cut after sentence ends; a stretch without any is cut every 240 characters, counted from the last cut.
 PIECE = r"[^\n]{1,240}?(?:[.!?](?=\s)|(?=\n)|\z)|[^\n]{1,240}"
@@ -68,7 +68,7 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def ring(rows: DataFrame) -> DataFrame:
-    """(key, n, next_key) for (key, doc_id, n): the next key by descending id, and the first after the last.
+    """rows, which have key, doc_id and n, with next_key: the next key by descending id, and the first after the last.
 
     Null ids come last and equal ids go by key. Rows are dealt out by ranges of ids and numbered with their range;
     a window looks ahead within a range, and the end of a range takes the head of the next one. The heads are one row a
@@ -77,13 +77,12 @@ def ring(rows: DataFrame) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("key").desc()]
     ranged = stored(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ring")
     within = Window.partitionBy("range").orderBy(*order)
-    looked = ranged.select("key", "n", "range", F.lead("key").over(within).alias("ahead"), F.row_number().over(within).alias("at"))
-    looked = stored(looked, "ring")
+    looked = stored(ranged.withColumn("ahead", F.lead("key").over(within)).withColumn("at", F.row_number().over(within)), "ring")
     heads = looked.where("at = 1").select("range", F.col("key").alias("head"))
     along = Window.partitionBy(F.lit(0)).orderBy("range")
-    around = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    around = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = heads.select("range", F.coalesce(F.lead("head").over(along), F.first("head").over(around)).alias("head"))
-    return looked.join(F.broadcast(after), "range").select("key", "n", F.coalesce("ahead", "head").alias("next_key"))
+    return looked.join(F.broadcast(after), "range").select(*rows.columns, F.coalesce("ahead", "head").alias("next_key"))
 
 
 def edited_fingerprints(docs: DataFrame, lanes: int = LANES) -> DataFrame:
@@ -95,37 +94,33 @@ def edited_fingerprints(docs: DataFrame, lanes: int = LANES) -> DataFrame:
     text has the fingerprint of no paragraphs. Rows repeated as a whole count once in the order of
     documents and each get a row. A table of one document is its own next. No rows for an empty table.
 
-    Texts move through one shuffle, and the starts of texts through a second one; all sums are made within
-    a partition after that, since rows are then dealt by their key.
+    Texts move through one shuffle by key, which both uses of them share, and the starts of texts through a second
+    one. All sums are made within a partition after that, as rows then lie by key; what moves on are lane sums.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), row_key().alias("key"))
-    known = texts.select("key", "doc_id", F.length("text").alias("n"))
-    links = stored(ring(known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))), "ring")
-    starts = (
-        texts.select("key", "text").join(links.select(F.col("next_key").alias("key"), F.col("key").alias("to"), F.expr("n div 3").alias("size")), "key")
-        .select(F.col("to").alias("key"), F.expr("substring(text, 1, int(size))").alias("start")).dropDuplicates(["key"])
-    )
-    copies = known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    whole = (
-        texts.select("key", "text").dropDuplicates(["key"]).join(links, "key").join(starts, "key")
-        .select("key", "next_key", "n", "text", F.expr("concat(substring(text, 1, int(n - n div 3)), start)").alias("edited"))
-    )
+    known = texts.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min(F.length("text")).alias("n"), F.count("*").alias("copies"))
+    links = stored(ring(known), "ring")
+    by_key = texts.select("key", "text")
+    wanted = links.select(F.col("next_key").alias("key"), F.col("key").alias("to"), F.expr("n div 3").alias("size"))
+    starts = by_key.join(wanted, "key").select(
+        F.col("to").alias("key"), F.expr("substring(text, 1, int(size))").alias("start")
+    ).dropDuplicates(["key"])
+    whole = by_key.join(links, "key").dropDuplicates(["key"]).join(starts, "key")
+    facts = ["key", "doc_id", "n", "copies", "next_key"]
     both = whole.select(
-        "key", F.posexplode(F.array("text", "edited")).alias("which", "t"),
-    )
-    sums = multiset_hash(both, ["key", "which"], "t", lanes)
-    shas = whole.select("key", F.sha2("edited", 256).alias("edited_sha256"))
+        *facts, F.posexplode(F.array("text", F.expr("concat(substring(text, 1, int(n - n div 3)), start)"))).alias("which", "t")
+    ).select(*facts, "which", "t", F.sha2("t", 256).alias("sha"))
+    sums = multiset_hash(both, [*facts, "which", "sha"], "t", lanes)
+    one = lambda c, at: F.first(F.when(F.col("which") == at, F.col(c)), ignorenulls=True)
     prints = stored(
-        sums.groupBy("key").agg(
-            F.max(F.when(F.col("which") == 0, F.col("n_pieces"))).alias("n_pieces"),
-            F.first(F.when(F.col("which") == 0, F.col("sums")), ignorenulls=True).alias("own"),
-            F.first(F.when(F.col("which") == 1, F.col("sums")), ignorenulls=True).alias("new"),
-        ).join(shas, "key"),
+        sums.groupBy(*facts).agg(
+            one("n_pieces", 0).alias("n_pieces"), one("sums", 0).alias("own"), one("sums", 1).alias("new"), one("sha", 1).alias("edited_sha256")
+        ),
         "multiset",
     )
     near = prints.select(F.col("key").alias("next_key"), F.col("own").alias("next_own"))
     return (
-        prints.join(copies, "key").join(links, "key").join(near, "next_key")
+        prints.join(near, "next_key")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
         .select(
             "doc_id", F.col("n").cast("bigint").alias("n_chars"), "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
