@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -316,6 +318,14 @@ def scaled_sql(centre: str, spread: str) -> str:
  SELECT {KEY}, {columns} FROM t"""
 
 
+def one_hot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """A key taken as text: more values than columns are made for, so one sparse vector; rows are counted slot by slot."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("order"))
+    fitted = encode.fit_one_hot(rows, ["order"], most=100)
+    seen = fitted.apply(rows).select(Summarizer.numNonZeros(F.col("OneHot__order")).alias("n"))
+    return seen.select(F.posexplode(vector_to_array("n")).alias("slot", "n")).select("slot", F.col("n").cast("bigint").alias("n"))
+
+
 def one_hot_sql() -> str:
     # The categories of these columns in the test tables.
     values = {
@@ -391,6 +401,8 @@ def entries() -> dict:
             + f" SELECT {KEY}, " + ", ".join(rs(f"coalesce(m_{c}.m, (SELECT avg({LABEL}) FROM fitted))", f"{c}_te") for c in ("HeatingType", "BuildingStyle"))
             + " FROM listing LEFT JOIN m_HeatingType ON HeatingType = m_HeatingType.v LEFT JOIN m_BuildingStyle ON BuildingStyle = m_BuildingStyle.v"),
         "target_encode_oof": (target_oof, oof_sql()),
+        "one_hot_wide": (one_hot_wide, """SELECT CAST(row_number() OVER (ORDER BY CAST(l_orderkey AS VARCHAR)) - 1 AS INT) AS slot, count(*) AS n
+ FROM lineitem GROUP BY l_orderkey"""),
         "one_hot": (one_hot, one_hot_sql()),
         "ordinal_encode": (ordinal, WITH + ", " + ", ".join(f"m{i} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {c} AS v FROM listing WHERE {c} IS NOT NULL))" for i, c in enumerate(WORDS))
             + f" SELECT {KEY}, " + ", ".join(f"CAST(m{i}.code AS INT) AS {c}" for i, c in enumerate(WORDS)) + " FROM listing"

@@ -33,21 +33,23 @@ RULED = WITH + f", pred AS (SELECT {KEY}, {LABEL}, YearListed, {', '.join(f'{e}
 
 
 def grid_sql(by: str = "", source: str = "pred") -> str:
-    """Confusion counts, absent pairs as 0."""
+    """Confusion counts, absent pairs as 0; the classes are the five and all that are seen on either side."""
     keys = f"{by}, " if by else ""
     groups = f"(SELECT DISTINCT {by} FROM {source}) g CROSS JOIN " if by else ""
     match = f" AND g.{by} = m.{by}" if by else ""
     pick = f"g.{by}, " if by else ""
-    return f"""matrix AS (SELECT {pick}CAST(a AS INT) AS actual, CAST(p AS INT) AS predicted, coalesce(m.n, 0) AS n
- FROM {groups}(SELECT UNNEST(range(5)) AS a) x CROSS JOIN (SELECT UNNEST(range(5)) AS p) y
- LEFT JOIN (SELECT {keys}{LABEL} AS ya, prediction AS yp, count(*) AS n FROM {source} GROUP BY ALL) m ON ya = a AND yp = p{match})"""
+    return f"""seen AS (SELECT UNNEST(range(5)) AS c UNION SELECT {LABEL} FROM {source} WHERE {LABEL} IS NOT NULL UNION SELECT prediction FROM {source} WHERE prediction IS NOT NULL),
+ matrix AS (SELECT {pick}CAST(x.c AS INT) AS actual, CAST(y.c AS INT) AS predicted, coalesce(m.n, 0) AS n
+ FROM {groups}seen x CROSS JOIN seen y
+ LEFT JOIN (SELECT {keys}{LABEL} AS ya, prediction AS yp, count(*) AS n FROM {source} GROUP BY ALL) m ON ya = x.c AND yp = y.c{match}
+ UNION ALL SELECT {keys}{LABEL}, prediction, count(*) FROM {source} WHERE {LABEL} IS NULL OR prediction IS NULL GROUP BY ALL)"""
 
 
 def classes_sql(by: str = "") -> str:
     keys = f"{by}, " if by else ""
     same = f" AND t.{by} = o.{by}" if by else ""
-    return f"""sums AS (SELECT {keys}actual AS class, sum(n) AS support, sum(n) FILTER (actual = predicted) AS hit FROM matrix GROUP BY ALL),
- called AS (SELECT {keys}predicted AS c, sum(n) AS called FROM matrix GROUP BY ALL),
+    return f"""sums AS (SELECT {keys}actual AS class, sum(n) AS support, coalesce(sum(n) FILTER (actual = predicted), 0) AS hit FROM matrix WHERE actual IS NOT NULL GROUP BY ALL),
+ called AS (SELECT {keys}predicted AS c, sum(n) AS called FROM matrix WHERE actual IS NOT NULL GROUP BY ALL),
  per AS (SELECT {f't.{by}, ' if by else ''}class, CASE WHEN called > 0 THEN CAST(hit AS DOUBLE) / called ELSE 0 END AS precision,
  CASE WHEN support > 0 THEN CAST(hit AS DOUBLE) / support ELSE 0 END AS recall,
  CASE WHEN called + support > 0 THEN 2.0e0 * hit / (called + support) ELSE 0 END AS f1, CAST(support AS BIGINT) AS support, hit
@@ -77,6 +79,16 @@ def confusion(spark: SparkSession, sf: str) -> DataFrame:
     return E.confusion_matrix(predicted(spark, sf), LABEL, "prediction", CLASSES)
 
 
+# A predictor that names a class that no row has, and no class at all for some rows.
+UNSEEN = f"CASE WHEN BuildingGrade = 7 THEN 9 WHEN BuildingGrade <> 3 THEN {RULES['a']} END"
+UNSEEN_SQL = RULED.replace(f"{RULES['a']} AS prediction", f"{UNSEEN} AS prediction")
+
+
+def unseen(spark: SparkSession, sf: str) -> DataFrame:
+    rows = listing(spark, sf).select(KEY, LABEL, F.expr(UNSEEN).alias("prediction"))
+    return E.confusion_matrix(rows, LABEL, "prediction")
+
+
 def metrics(average: str):
     return lambda s, d: rounded(E.classification_metrics(confusion(s, d), average=average))
 
@@ -170,6 +182,9 @@ def entries() -> dict:
  QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY n DESC, p) = 1"""
     return {
         "confusion_matrix": (confusion, f"{RULED}, {grid_sql()} SELECT * FROM matrix"),
+        "confusion_matrix_unseen_class": (unseen, f"{UNSEEN_SQL}, {grid_sql()} SELECT * FROM matrix"),
+        "classification_metrics_unseen_class": (
+            lambda s, d: rounded(E.classification_metrics(unseen(s, d))), f"{UNSEEN_SQL}, {grid_sql()}, {classes_sql()} {metrics_select()}"),
         "classification_metrics": (metrics("weighted"), f"{whole} {metrics_select()}"),
         "classification_metrics_macro": (metrics("macro"), f"{whole} {metrics_select(average='macro')}"),
         "classification_report": (lambda s, d: rounded(E.classification_report(confusion(s, d))), f"{whole} {report}"),

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import os
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lintel.checks.common import KEY, LABEL, WITH, rounded, rs
 from lintel.checks.derived_columns import BASE, catalogue
-from lintel.checks.tables import scratch
+from lintel.checks.profiles import MISSING_SQL
+from lintel.checks.tables import RANKED, scratch
 from lintel.functions.derived import DERIVED
 from lintel.operators import clean, encode, evaluate, ranking, scale
 from lintel.operators.state import Fitted
@@ -22,7 +25,7 @@ from lintel.sources.listing import CLASSES, NUMERIC, listing, numeric_rows, tabl
 from lintel.sources.tables import write_report
 from lintel.streaming.scoring import apply_stream
 
-COLUMNS = ["UpperFloorArea", "UnfinishedBasementArea", "PlotSize", "TotalRooms", "BuildingGrade", "OfficeSpace"]
+COLUMNS = NUMERIC
 
 
 def config(**kw) -> FeatureConfig:
@@ -112,7 +115,7 @@ def robust_sql() -> str:
 
 
 def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Assembled training and validation rows over a few numeric columns, written out once."""
+    """Assembled training and validation rows over all numeric columns, written out once."""
     split = ranking.stratified_split(numeric_rows(spark, sf, *COLUMNS), LABEL, KEY)
     train = split.where("is_valid = 0")
     imputer = clean.fit_impute(train, COLUMNS, "median")
@@ -124,48 +127,75 @@ def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return fixed.where("is_valid = 0"), fixed.where("is_valid = 1")
 
 
-def measured(scored: DataFrame, name: str, train: DataFrame) -> DataFrame:
-    """Accuracy and weighted measures, beside the share of the largest class."""
-    matrix = evaluate.confusion_matrix(scored, "label", "prediction", CLASSES)
-    floor = models.majority_share(train, "label")
-    return evaluate.classification_metrics(matrix).select(F.lit(name).alias("model"), "*", F.lit(floor).alias("majority"))
+def facts(scored: DataFrame, name: str, train: DataFrame, label: str = "label", above: bool = True) -> DataFrame:
+    """One line of what must hold whatever the learner finds: no row or key lost, probabilities that add up to 1, labels in
+    range, and more rows right than the largest class holds.
+    """
+    floor = models.majority_share(train, label)
+    total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, b: a + b)
+    hits = F.avg((F.col(label) == F.col("prediction")).cast("double"))
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_distinct(KEY).alias("n_keys"), F.count_if(F.abs(total - 1) < 1e-6).alias("n_sum_one"),
+        F.count_if(F.col("prediction").isin([float(c) for c in CLASSES])).alias("n_in_range"),
+        (hits > floor).alias("above_majority") if above else F.lit(True).alias("above_majority"),
+    ).select(F.lit(name).alias("model"), "*")
 
 
-def learner(name: str, build):
+def learner(name: str, build, above: bool = True):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         train, valid = prepared(spark, sf)
-        return measured(build().fit(train).transform(valid), name, train)
+        return facts(build().fit(train).transform(valid), name, train, above=above)
 
     return query
 
 
+VALID = RANKED + ", valid AS (SELECT * FROM ranked WHERE k <= floor(n * CAST(0.2 AS DOUBLE))), train AS (SELECT * FROM ranked WHERE k > floor(n * CAST(0.2 AS DOUBLE)))"
+
+
+def facts_sql(name: str, rows: str = "valid") -> str:
+    counts = ", ".join(f"count(*) AS {c}" for c in ("n_rows", "n_keys", "n_sum_one", "n_in_range"))
+    return f"{VALID} SELECT '{name}' AS model, {counts}, true AS above_majority FROM {rows}"
+
+
 def boosted(spark: SparkSession, sf: str) -> DataFrame:
     """Early stopping on the validation rows."""
     train, valid = prepared(spark, sf)
     both = train.unionByName(valid).withColumn("held", F.col("is_valid") == 1)
     model = models.boosted_trees({"maxIter": 8, "maxDepth": 4, "validationTol": 0.01}, weight="weight", validation="held").fit(both)
-    return measured(model.transform(valid), "boosted_trees", train)
+    return facts(model.transform(valid), "boosted_trees", train)
+
+
+BASE_LEARNERS = {
+    "forest": lambda: models.random_forest({"numTrees": 10, "maxDepth": 6}),
+    "bayes": lambda: models.gaussian_nb(),
+    "logistic": lambda: models.logistic({"maxIter": 20}),
+    "svm": lambda: models.linear_svm({"maxIter": 5}),
+}
 
 
 def stacked(spark: SparkSession, sf: str) -> tuple[ensemble.Stack, DataFrame, DataFrame]:
     train, valid = prepared(spark, sf)
-    folded = cut(ranking.stratified_folds(train, "label", KEY, 3))
-    builders = {
-        "forest": lambda: models.random_forest({"numTrees": 10, "maxDepth": 6}),
-        "bayes": lambda: models.gaussian_nb(),
-        "logistic": lambda: models.logistic({"maxIter": 20}),
-    }
-    return ensemble.fit_stack(folded, "fold", builders, CLASSES), train, valid
+    return ensemble.StackLearner(BASE_LEARNERS, KEY).fit(train), train, valid
 
 
 def stack(spark: SparkSession, sf: str) -> DataFrame:
     model, train, valid = stacked(spark, sf)
-    return measured(model.transform(valid), "stack", train)
+    return facts(model.transform(valid), "stack", train)
 
 
 def stack_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """A line per base model, none negative."""
     model, train, _ = stacked(spark, sf)
-    return model.importance(train)
+    return model.importance(train).select("model", (F.col("importance") >= 0).alias("not_negative"))
+
+
+def voting(soft: bool):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        train, valid = prepared(spark, sf)
+        model = ensemble.VotingLearner(BASE_LEARNERS, soft=soft).fit(train)
+        return facts(model.transform(valid), "voting_soft" if soft else "voting_hard", train)
+
+    return query
 
 
 def out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,78 +214,156 @@ def forest(**p):
     return lambda: models.random_forest({"numTrees": 10, "maxDepth": 6, **p}, LABEL, "weight")
 
 
-SMALL = {"drop": ["BuildingStyle", "BuildingType"]}
-
-
 def train_job(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.train_job(listing(spark, sf), config(**SMALL), forest()).metrics
+    """Measures of both sets over the whole feature table, as facts: in range, and above the largest class."""
+    rows = listing(spark, sf, KEY, LABEL)
+    floor = models.majority_share(rows, LABEL)
+    got = jobs.train_job(listing(spark, sf), config(), forest()).metrics
+    inside = reduce(lambda a, b: a & b, [F.col(m).between(0, 1) for m in ("accuracy", "precision", "recall", "f1")])
+    return got.select("set", inside.alias("in_range"), (F.col("accuracy") > floor).alias("above_majority"))
 
 
 def cv_job(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.cv_job(listing(spark, sf), config(wide=False, group_statistics=False, **SMALL), forest(), k=2)
+    """The lines of the combined report with their support: every row is validated once."""
+    done = jobs.cv_job(listing(spark, sf), config(), forest(numTrees=5), k=3)
+    ordered = done.summary.where("NOT (min <= mean AND mean <= max)").count() == 0 and done.folds.count() == 3
+    return done.report.select("class", F.col("support").cast("bigint").alias("support"), F.lit(ordered).alias("ordered"))
 
 
-def predict_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Train, save, load, and score with the loaded state."""
-    from pyspark.ml.classification import RandomForestClassificationModel
+CV_SQL = WITH + f""" SELECT CAST({LABEL} AS VARCHAR) AS class, count(*) AS support, true AS ordered FROM listing GROUP BY 1
+ UNION ALL SELECT UNNEST(['macro avg', 'weighted avg']), count(*), true FROM listing UNION ALL SELECT 'accuracy', NULL, true"""
+
 
+def predict_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Train on the whole feature table, save, load, and score all rows with what was loaded."""
     rows = listing(spark, sf)
-    trained = jobs.train_job(rows, config(wide=False, group_statistics=False, **SMALL), forest())
+    trained = jobs.train_job(rows, config(), forest())
     path = scratch(spark, "trained")
     jobs.save_trained(spark, trained, path)
-    loaded = jobs.load_trained(spark, path, RandomForestClassificationModel)
-    return jobs.predict_job(loaded, rows.drop(LABEL), proba=True).select(KEY, "Id", LABEL)
+    out = jobs.predict_job(jobs.load_trained(spark, path), rows.drop(LABEL), proba=True)
+    total = F.aggregate("probs", F.lit(0.0), lambda a, b: a + b)
+    return out.select(KEY, "Id", F.col(LABEL).isin(CLASSES).alias("in_range"), (F.abs(total - 1) < 1e-6).alias("sum_one"))
+
+
+PREDICT_SQL = WITH + f" SELECT {KEY}, row_number() OVER (ORDER BY {KEY}) - 1 AS Id, true AS in_range, true AS sum_one FROM listing"
+
+SAVED = {
+    "random_forest": lambda: models.random_forest({"numTrees": 5, "maxDepth": 4}),
+    "boosted_trees": lambda: models.boosted_trees({"maxIter": 2, "maxDepth": 3}),
+    "svm": lambda: models.linear_svm({"maxIter": 3}),
+    "ridge": lambda: models.ridge_classifier(),
+    "knn": lambda: models.knn({"most": 1_000}),
+    "stack": lambda: ensemble.StackLearner({n: SAVED[n] for n in ("ridge", "knn")}, KEY, folds=2),
+    "vote": lambda: ensemble.VotingLearner({n: SAVED[n] for n in ("random_forest", "ridge")}),
+}
+
+
+def saved_learners(spark: SparkSession, sf: str) -> DataFrame:
+    """Every kind of learner fitted, saved, loaded by its manifest, and scoring the validation rows as before saving."""
+    train, valid = prepared(spark, sf)
+    lines = []
+    for name, build in SAVED.items():
+        model, path = build().fit(train), scratch(spark, f"model-{name}")
+        models.save_model(spark, model, path)
+        now = models.load_model(spark, path).transform(valid).select(KEY, F.col("prediction").alias("now"))
+        both = model.transform(valid).select(KEY, "prediction").join(now, KEY)
+        lines.append(both.agg(F.lit(name).alias("model"), F.count("*").alias("n_rows"), F.count_if(F.col("prediction") == F.col("now")).alias("n_same")))
+    return reduce(DataFrame.unionByName, lines)
 
 
 def tuned(spark: SparkSession, sf: str) -> DataFrame:
-    rows = listing(spark, sf)
-    folds = jobs.fold_tables(rows, config(wide=False, group_statistics=False, **SMALL), 2)
-    space = {"numTrees": (5, 10), "maxDepth": [3, 5]}
-    _, trials = search.param_search(spark, folds, lambda p: models.random_forest(p, LABEL), search.draw(space, 2), LABEL)
-    return trials
+    """Three drawn candidates on two folds of the whole feature table; trials by falling accuracy."""
+    folds = jobs.fold_tables(listing(spark, sf), config(), 2)
+    space = {"numTrees": (3, 6), "maxDepth": [3, 5]}
+    best, trials = search.param_search(spark, folds, lambda p: models.random_forest(p, LABEL), search.draw(space, 3), LABEL)
+    top = F.first("params").over(W.partitionBy(F.lit(0)).orderBy(F.desc("mean_accuracy"), "trial"))
+    return trials.select(
+        "trial", F.col("mean_accuracy").between(0, 1).alias("in_range"), (top == json.dumps(best, sort_keys=True)).alias("best_first")
+    )
+
+
+def pool(spark: SparkSession, sf: str) -> DataFrame:
+    """A pool of kinds with drawn parameters, all built by the same call, each fitted and scored on the validation rows."""
+    train, valid = prepared(spark, sf)
+    spaces = {
+        "logistic": ({"maxIter": (5, 10)}, 1), "random_forest": ({"numTrees": (3, 6)}, 1), "boosted_trees": ({"maxIter": (2, 3)}, 1),
+        "naive_bayes": ({}, 1), "svm": ({"maxIter": (3, 5)}, 1), "ridge": ({}, 1), "mlp": ({"maxIter": (20, 30)}, 1), "knn": ({"k": (3, 7), "most": [2_000]}, 1),
+    }
+    lines = []
+    for kind, params in search.model_pool(spaces, len(spaces)):
+        weight = None if kind in ("mlp", "knn") else "weight"
+        model = models.BUILDERS[kind](params, "label", weight).fit(train)
+        lines.append(facts(model.transform(valid), kind, train, above=False))
+    return reduce(DataFrame.unionByName, lines)
 
 
 def importance(spark: SparkSession, sf: str) -> DataFrame:
+    """A line per column; gains are shares, so they add up to 1."""
     train, _ = prepared(spark, sf)
-    return models.feature_importance(models.random_forest({"numTrees": 10, "maxDepth": 6}).fit(train), COLUMNS, train)
+    got = models.feature_importance(models.random_forest({"numTrees": 10, "maxDepth": 6}).fit(train), COLUMNS, train)
+    total = F.sum("importance").over(W.partitionBy(F.lit(0)))  # one line per column
+    return got.select("feature", (F.col("importance") >= 0).alias("not_negative"), (F.abs(total - 1) < 1e-6).alias("sum_one"))
 
 
 def plain_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = numeric_rows(spark, sf, "YearListed", *COLUMNS)
+    rows = numeric_rows(spark, sf)
     return clean.fit_impute(rows, COLUMNS, "median").apply(rows)
 
 
+DRIFTING = [c for c in NUMERIC if c != "YearListed"]
+
+
 def adversarial(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts are cut by year, which is left out: the AUC is a share, and its level is the one of its range."""
     rows = plain_rows(spark, sf)
-    return jobs.adversarial_validation(rows.where("YearListed < 1997"), rows.where("YearListed >= 1997"), KEY, COLUMNS)[0]
+    got = jobs.adversarial_validation(rows.where("YearListed < 1997"), rows.where("YearListed >= 1997"), KEY, DRIFTING)[0]
+    level = F.when(F.col("auc") < 0.55, "none").when(F.col("auc") < 0.65, "mild").when(F.col("auc") < 0.75, "moderate").otherwise("high")
+    return got.select(F.col("auc").between(0, 1).alias("in_range"), (F.col("drift") == level).alias("level_fits"))
 
 
 def drift_weights(spark: SparkSession, sf: str) -> DataFrame:
     rows = plain_rows(spark, sf)
     train = rows.where("YearListed < 1997")
-    _, model = jobs.adversarial_validation(train, rows.where("YearListed >= 1997"), KEY, COLUMNS)
-    return jobs.drift_weights(train, model, COLUMNS).select(KEY, "drift_weight")
+    _, model = jobs.adversarial_validation(train, rows.where("YearListed >= 1997"), KEY, DRIFTING)
+    return jobs.drift_weights(train, model, DRIFTING).select(KEY, F.col("drift_weight").between(0, 1).alias("in_range"))
 
 
 def rfe(spark: SparkSession, sf: str) -> DataFrame:
+    """How many of all columns are left, all different and known."""
     rows = plain_rows(spark, sf).withColumn(LABEL, F.col(LABEL).cast("double"))
-    left = jobs.rfe(rows, COLUMNS, LABEL, 3, 0.3, {"numTrees": 5, "maxDepth": 4})
-    return spark.createDataFrame([(c,) for c in left], "feature string")
+    left = jobs.rfe(rows, COLUMNS, LABEL, 5, 0.3, {"numTrees": 5, "maxDepth": 4})
+    table_ = spark.createDataFrame([(c,) for c in left], "feature string")
+    return table_.agg(F.count("*").alias("n"), F.count_distinct("feature").alias("n_distinct"), F.bool_and(F.col("feature").isin(COLUMNS)).alias("known"))
 
 
 def audit(spark: SparkSession, sf: str) -> DataFrame:
-    split = ranking.stratified_split(listing(spark, sf), LABEL, KEY)
-    trained = jobs.train_job(listing(spark, sf), config(wide=False, group_statistics=False, **SMALL), forest())
-    reports = jobs.audit_job(trained, split.where("is_valid = 0"), split.where("is_valid = 1"), ["UpperFloorArea", "PlotSize"], 2, 0.6)
-    lines = [t.agg(F.lit(n).alias("report"), F.count("*").alias("n_lines")) for n, t in reports.items()]
-    return reduce(DataFrame.unionByName, lines)
+    """All numeric columns of the whole feature table through every report: a line per feature, column, or set."""
+    rows = listing(spark, sf)
+    split = ranking.stratified_split(rows, LABEL, KEY)
+    trained = jobs.train_job(rows, config(), forest())
+    reports = jobs.audit_job(trained, split.where("is_valid = 0"), split.where("is_valid = 1"), NUMERIC, 1, 0.6)
+    lines = [
+        reports["feature_importance"].select(F.lit("feature_importance").alias("report"), F.col("feature").alias("line")).where(F.col("line").isin(NUMERIC)),
+        reports["permutation_importance"].select(F.lit("permutation_importance"), "feature"),
+        reports["adversarial_validation"].select(F.lit("adversarial_validation"), F.lit("auc")),
+        reports["high_correlations"].select(F.lit("high_correlations"), F.lit("pairs")).distinct(),
+    ]
+    return reduce(DataFrame.union, lines)
+
+
+AUDIT_SQL = " UNION ALL ".join(
+    [f"SELECT '{r}' AS report, UNNEST({NUMERIC}) AS line" for r in ("feature_importance", "permutation_importance")]
+    + ["SELECT 'adversarial_validation', 'auc' UNION ALL SELECT 'high_correlations', 'pairs'"]
+)
 
 
 def evaluate_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures of both sets of a fitted learner, as facts."""
     train, valid = prepared(spark, sf)
     model = models.gaussian_nb().fit(train)
     sets = {"train": model.transform(train), "valid": model.transform(valid)}
-    return evaluate.evaluate_sets(sets, "label", "prediction", CLASSES)
+    got = evaluate.evaluate_sets(sets, "label", "prediction", CLASSES)
+    return got.select("set", *[F.col(m).between(0, 1).alias(m) for m in ("accuracy", "precision", "recall", "f1")])
 
 
 def saved_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,31 +405,42 @@ def probabilities_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 def entries() -> dict:
     w = "weight"
+    base = ", ".join(f"'{n}'" for n in BASE_LEARNERS)
+    kinds = ["logistic", "random_forest", "boosted_trees", "naive_bayes", "svm", "ridge", "mlp", "knn"]
+    pooled = " UNION ALL ".join(facts_sql(k).replace(VALID, "") for k in kinds)
+    learners = {
+        "logistic": lambda: models.logistic(weight=w),
+        "random_forest": lambda: models.random_forest({"numTrees": 20, "maxDepth": 8}, weight=w),
+        "gaussian_nb": lambda: models.gaussian_nb(weight=w),
+        "linear_svm": lambda: models.linear_svm({"maxIter": 10}, weight=w),
+        "ridge_classifier": lambda: models.ridge_classifier(weight=w),
+        "mlp": lambda: models.mlp({"maxIter": 30}),
+        "knn_learner": lambda: models.knn({"most": 5_000}),
+    }
     return {
         "build_features": (build_features, features_sql()),
         "build_features_robust": (features_robust, robust_sql()),
-        "logistic": (learner("logistic", lambda: models.logistic(weight=w)), None),
-        "random_forest": (learner("random_forest", lambda: models.random_forest({"numTrees": 20, "maxDepth": 8}, weight=w)), None),
-        "boosted_trees": (boosted, None),
-        "gaussian_nb": (learner("gaussian_nb", lambda: models.gaussian_nb(weight=w)), None),
-        "linear_svm": (learner("linear_svm", lambda: models.linear_svm(weight=w)), None),
-        "ridge_classifier": (learner("ridge", lambda: models.ridge_classifier(weight=w)), None),
-        "ridge_probabilities": (probabilities_sum, None),
-        "mlp": (learner("mlp", lambda: models.mlp([len(COLUMNS), 16, len(CLASSES)])), None),
-        "stack": (stack, None),
-        "stack_importance": (stack_importance, None),
-        "out_of_fold": (out_of_fold, None),
-        "param_search": (tuned, None),
-        "train_job": (train_job, None),
-        "cv_job": (cv_job, None),
-        "predict_job": (predict_job, None),
-        "feature_importance": (importance, None),
-        "adversarial_validation": (adversarial, None),
-        "drift_weights": (drift_weights, None),
-        "rfe": (rfe, None),
-        "audit_job": (audit, None),
-        "evaluate_job": (evaluate_job, None),
+        **{name: (learner(name, build), facts_sql(name)) for name, build in learners.items()},
+        "boosted_trees": (boosted, facts_sql("boosted_trees")),
+        "ridge_probabilities": (probabilities_sum, f"{VALID} SELECT count(*) AS n_rows, count(*) AS n_sum_one FROM valid"),
+        "stack": (stack, facts_sql("stack")),
+        "stack_importance": (stack_importance, f"SELECT UNNEST([{base}]) AS model, true AS not_negative"),
+        "voting_soft": (voting(True), facts_sql("voting_soft")),
+        "voting_hard": (voting(False), facts_sql("voting_hard")),
+        "out_of_fold": (out_of_fold, f"{VALID} SELECT count(*) AS n_rows, count(*) AS n_keys, count(*) AS n_sum_one FROM train"),
+        "model_pool": (pool, f"{VALID} {pooled}"),
+        "param_search": (tuned, "SELECT CAST(UNNEST(range(3)) AS INT) AS trial, true AS in_range, true AS best_first"),
+        "train_job": (train_job, "SELECT UNNEST(['train', 'valid']) AS set, true AS in_range, true AS above_majority"),
+        "cv_job": (cv_job, CV_SQL),
+        "predict_job": (predict_job, PREDICT_SQL),
+        "saved_learners": (saved_learners, f"{VALID} SELECT UNNEST({list(SAVED)}) AS model, count(*) AS n_rows, count(*) AS n_same FROM valid"),
+        "feature_importance": (importance, f"SELECT UNNEST({NUMERIC}) AS feature, true AS not_negative, true AS sum_one"),
+        "adversarial_validation": (adversarial, "SELECT true AS in_range, true AS level_fits"),
+        "drift_weights": (drift_weights, f"{WITH} SELECT {KEY}, true AS in_range FROM listing WHERE YearListed < 1997"),
+        "rfe": (rfe, "SELECT 5 AS n, 5 AS n_distinct, true AS known"),
+        "audit_job": (audit, AUDIT_SQL),
+        "evaluate_job": (evaluate_job, "SELECT UNNEST(['train', 'valid']) AS set, true AS accuracy, true AS precision, true AS recall, true AS f1"),
         "save_load_fitted": (saved_state, WITH + f" SELECT {KEY}, {SHARES} FROM listing"),
-        "write_report": (report, None),
+        "write_report": (report, MISSING_SQL),
         "stream_scoring": (streamed, f"SELECT event_id, {rs('CAST(count(*) OVER (PARTITION BY event_type) AS DOUBLE) / count(*) OVER ()', 'FE__event_type')} FROM events"),
     }

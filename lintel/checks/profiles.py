@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lintel.checks.common import KEY, LABEL, WITH, melt_sql, per_column_sql, rounded, rs
 from lintel.operators import correlation as C
 from lintel.operators import profile as P
+from lintel.operators.quantiles import column_quantiles
 from lintel.sources.listing import NUMERIC, TEXT, listing, numeric_rows, table
 
 SHARE = "CAST({0} AS DOUBLE) / {1}"
@@ -64,12 +65,34 @@ PAIRS = [(NUMERIC[j], NUMERIC[i]) for i in range(len(NUMERIC)) for j in range(i
 NAMED = WITH + ", "
 
 
+def neighbouring(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles of values that lie one or two doubles apart, searched with few candidates."""
+    rows = table(spark, sf, "orders").select(*[F.expr(f"CAST({e} AS DOUBLE)").alias(c) for c, e in CLOSE.items()])
+    got = column_quantiles(rows, list(CLOSE), [0.1, 0.6, 0.9], most=10, slices=862)
+    return spark.createDataFrame([(c, *q) for c, q in got.items()], "`column` string, q1 double, q2 double, q3 double")
+
+
+# Neighbouring doubles, in both engines.
+CLOSE = {
+    "a": "CASE WHEN o_orderkey % 3 = 0 THEN 0.3e0 ELSE 0.1e0 + 0.2e0 END",
+    "b": "0.00095e0 + (o_orderkey % 4) * 1.0e-19",
+    "c": "1.0e300 * (o_orderkey % 2) + 1.0e0",
+}
+CLOSE_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", quantile_cont(CAST({e} AS DOUBLE), 0.1) AS q1, quantile_cont(CAST({e} AS DOUBLE), 0.6) AS q2, quantile_cont(CAST({e} AS DOUBLE), 0.9) AS q3 FROM orders"""
+    for c, e in CLOSE.items()
+)
+
+MISSING_SQL = WITH + f""" SELECT "column", n_missing,
+ {rs("n_missing * 100.0e0 / n_rows", "pct_missing")} FROM ({per_column_sql([KEY, *NUMERIC, *TEXT, LABEL], {"n_missing": "count(*) FILTER ({c} IS NULL)", "n_rows": "count(*)"})})
+ WHERE n_missing > 0"""
+
+
 def entries() -> dict:
     label_gap = "abs(share_missing - share_present)"
     return {
-        "missing_profile": (lambda s, d: rounded(P.missing_profile(listing(s, d))), WITH + f""" SELECT "column", n_missing,
- {rs("n_missing * 100.0e0 / n_rows", "pct_missing")} FROM ({per_column_sql([KEY, *NUMERIC, *TEXT, LABEL], {"n_missing": "count(*) FILTER ({c} IS NULL)", "n_rows": "count(*)"})})
- WHERE n_missing > 0"""),
+        "missing_profile": (lambda s, d: rounded(P.missing_profile(listing(s, d))), MISSING_SQL),
+        "quantiles_neighbouring_values": (neighbouring, CLOSE_SQL),
         "target_distribution": (lambda s, d: rounded(P.target_distribution(listing(s, d), LABEL)), WITH + f""" SELECT {LABEL}, count(*) AS n,
  {rs("count(*) * 100.0e0 / (SELECT count(*) FROM listing)", "pct")} FROM listing GROUP BY 1"""),
         "class_prior": (lambda s, d: rounded(P.class_prior(listing(s, d), LABEL)), WITH + f""" SELECT {LABEL},

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from lintel.functions.derived import ensure_derived
 from lintel.functions.nullsafe import blank_or_null_flag, missing_flag, to_category, to_num
 from lintel.operators import ranking, schema
 from lintel.operators.state import State, lookup
+from lintel.session import ensure_checkpoint_dir
 from lintel.sources import tables as src
 from lintel.sources.listing import NUMERIC, TEXT, listing, table
 
@@ -20,11 +20,9 @@ PART_CSV = "p_partkey BIGINT, p_brand STRING, p_size INT, p_retailprice DOUBLE"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A folder for a sink: beside the checkpoints of the session, else a local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return os.path.join(shared, f"lintel-{name}-{os.urandom(6).hex()}")
-    return os.path.join(tempfile.mkdtemp(prefix="lintel-sink-"), name)
+    """A new folder for a sink below the checkpoint folder, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/lintel-{name}-{os.urandom(6).hex()}"
 
 
 def read_csv_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,6 +39,13 @@ def read_csv_table(spark: SparkSession, sf: str) -> DataFrame:
     return src.read_table(spark, path, PART_CSV, "csv")
 
 
+def read_csv_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    """A file whose columns stand in another order than the schema's."""
+    path = scratch(spark, "csv")
+    table(spark, sf, "part").select("p_retailprice", "p_size", "p_brand", "p_partkey").write.option("header", True).csv(path)
+    return rounded(src.read_table(spark, path, PART_CSV, "csv"))
+
+
 def read_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "csv")
     customer = table(spark, sf, "customer").select(
@@ -166,6 +171,7 @@ def entries() -> dict:
  CASE WHEN p_partkey % 7 NOT IN (0, 1) THEN p_brand END AS p_brand,
  CASE WHEN p_partkey % 5 <> 0 THEN p_size END AS p_size,
  CASE WHEN p_partkey % 3 <> 0 THEN p_retailprice END AS p_retailprice FROM part"""),
+        "read_table_reordered": (read_csv_reordered, f"SELECT p_partkey, p_brand, CAST(p_size AS INT) AS p_size, {rs('p_retailprice', 'p_retailprice')} FROM part"),
         "read_table_inferred": (read_csv_inferred, """SELECT c_custkey,
  CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS c_acctbal, c_mktsegment FROM customer"""),
         "split_target": (split_target, WITH + f" SELECT {LABEL}, count(*) AS n, {len(NUMERIC + TEXT) + 1} AS n_features FROM listing GROUP BY 1"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from lintel.operators.clean import MISSING
 from lintel.operators.profile import melt
 from lintel.operators.ranking import dense_position
 from lintel.operators.state import Fitted, State, lookup
+from lintel.session import cut
 
+#: 0/1 columns that one-hot encoding makes at most; columns beyond that become sparse vectors.
 MAX_ONE_HOT = 2_000
 
 
@@ -49,11 +52,8 @@ def fit_frequency(df: DataFrame, columns: list[str]) -> FrequencyEncoder:
 
 
 def label_classes(df: DataFrame, target: str) -> list[int]:
-    """Class labels in order, with a check that there are few."""
-    found = df.select(target).distinct().limit(1001).collect()
-    if len(found) > 1000:
-        raise ValueError(f"{target} has more than 1000 values; it is no class label")
-    return sorted(r[0] for r in found if r[0] is not None)
+    """Class labels in order, without null. They come to the driver, as each becomes a column of what is fitted."""
+    return sorted(r[0] for r in df.select(target).where(F.col(target).isNotNull()).distinct().collect())
 
 
 def class_counts(target: str, classes: list[int]) -> list[Column]:
@@ -91,12 +91,13 @@ def fit_target(
 ) -> TargetEncoder:
     """With null_is_prior a missing value is no category: it is encoded by the prior."""
     classes = classes or label_classes(df, target)
-    sizes = df.agg(F.count("*").alias("n"), *class_counts(target, classes)).first()
-    prior = [sizes[f"n{i}"] / sizes.n for i in range(len(classes))]
+    # over the rows with a label, so that the shares add up to 1
+    sizes = df.agg(F.count(target).alias("n"), *class_counts(target, classes)).first()
+    prior = [sizes[f"n{i}"] / (sizes.n or 1) for i in range(len(classes))]
     long = _categories(df, columns, target)
     if null_is_prior:
         long = melt(df, columns, "string", [target]).where("value IS NOT NULL")
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"), *class_counts(target, classes))
+    counts = long.groupBy("column", "value").agg(F.count(target).alias("n"), *class_counts(target, classes))
     table = counts.select(
         "column", "value", "n",
         *[smoothed(F.col(f"n{i}"), F.col("n"), prior[i], alpha).alias(f"p{i}") for i in range(len(classes))],
@@ -113,13 +114,13 @@ def target_encode_oof(
     """Training rows encoded by the other folds: a row's own label has no part in its encoding."""
     classes = classes or label_classes(df, target)
     ks = range(len(classes))
-    per_fold = df.groupBy(fold).agg(F.count("*").alias("n"), *class_counts(target, classes)).collect()
+    per_fold = df.groupBy(fold).agg(F.count(target).alias("n"), *class_counts(target, classes)).collect()
     total = {"n": sum(r.n for r in per_fold), **{f"n{i}": sum(r[f"n{i}"] for r in per_fold) for i in ks}}
     rest = {r[fold]: [(total[f"n{i}"] - r[f"n{i}"]) / ((total["n"] - r.n) or 1) for i in ks] for r in per_fold}
     prior = F.create_map(*[x for f, p in rest.items() for x in (F.lit(f), F.array(*[F.lit(v) for v in p]))])
 
     counts = _categories(df, columns, target, fold).groupBy("column", "value", fold).agg(
-        F.count("*").alias("n"), *class_counts(target, classes)
+        F.count(target).alias("n"), *class_counts(target, classes)
     )
     whole = W.partitionBy("column", "value")  # one row per fold
     others = counts.select(
@@ -157,10 +158,14 @@ def fit_mean_target(df: DataFrame, columns: list[str], target: str) -> MeanTarge
 
 
 class OneHot(Fitted):
-    """<col>_<value> 0/1 per fitted value in order; an unseen value is all zero."""
+    """<col>_<value> 0/1 per fitted value in order; an unseen value is all zero.
+
+    A column with too many values for columns of their own becomes one sparse vector, OneHot__<col>, whose slots are
+    the values in order; its values are a fitted table, found by join.
+    """
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.select("*", *self.columns())
+        return self.vectors(df.select("*", *self.columns()))
 
     def columns(self) -> list[Column]:
         return [
@@ -169,15 +174,51 @@ class OneHot(Fitted):
         ]
 
     def names(self) -> list[tuple[str, str, str]]:
-        return [(c, v, f"{c}_{v}") for c, vs in self.params["values"].items() for v in vs]
+        """(column, value, output name): plain and unique, whatever the values hold."""
+        out: list[tuple[str, str, str]] = []
+        taken: set[str] = set()
+        for c, vs in self.params["values"].items():
+            for v in vs:
+                plain = f"{c}_{v}".replace(".", "_").replace("`", "_")
+                name, n = plain, 1
+                while name.lower() in taken:
+                    n += 1
+                    name = f"{plain}__{n}"
+                taken.add(name.lower())
+                out.append((c, v, name))
+        return out
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        for c, n in self.params.get("wide", {}).items():
+            code = f"__hot_{c}"
+            key = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
+            df = lookup(df.withColumn("__cat", key), self.states[c], {"__cat": "value"}, {"code": code}, {code: n}).drop("__cat")
+            # the last of n + 1 categories, an unseen value, is dropped: it has no slot
+            sizes = df.sparkSession.createDataFrame([(float(n),)], f"`{code}` double")
+            encoder = OneHotEncoder(inputCols=[code], outputCols=[f"OneHot__{c}"], dropLast=True).fit(sizes)
+            df = encoder.transform(df.withColumn(code, F.col(code).cast("double"))).drop(code)
+        return df
 
 
 def fit_one_hot(df: DataFrame, columns: list[str], most: int = MAX_ONE_HOT) -> OneHot:
+    """Values with columns of their own while these are `most` at most, columns with few values first; the rest as vectors."""
     filled = df.select([F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
-    found = melt(filled, columns, "string").distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} values: use the frequency or target encoding for such columns")
-    return OneHot({"values": {c: sorted(r.value for r in found if r["column"] == c) for c in columns}})
+    found = cut(melt(filled, columns, "string").groupBy("column", "value").agg(F.count("*").alias("n")))
+    sizes = {r["column"]: r.values for r in found.groupBy("column").agg(F.count("*").alias("values")).collect()}
+    narrow, total = [], 0
+    for c in sorted(columns, key=lambda c: (sizes.get(c, 0), columns.index(c))):
+        total += sizes.get(c, 0)
+        if total <= most:
+            narrow.append(c)
+    values = {r: [] for r in columns if r in narrow}
+    for r in found.where(F.col("column").isin(narrow)).collect() if narrow else ():
+        values[r["column"]].append(r.value)
+    wide = {c: sizes[c] for c in columns if c not in narrow}
+    states = {}
+    for c in wide:
+        own = found.where(F.col("column") == c).select("value", "n")
+        states[c] = State.of(dense_position(own, "value", "code").withColumn("code", F.col("code").cast("int")), count="n")
+    return OneHot({"values": {c: sorted(v) for c, v in values.items()}, "wide": wide}, states)
 
 
 class OrdinalEncoder(Fitted):
@@ -199,13 +240,13 @@ def fit_ordinal(tables: list[DataFrame], columns: list[str]) -> OrdinalEncoder:
     both = values[0]
     for more in values[1:]:
         both = both.union(more)
-    distinct = State.of(both.distinct())
+    distinct = State.of(both.groupBy("column", "value").agg(F.count("*").alias("n")), count="n")
     states = {}
     for c in columns:
-        own = distinct.df.where(F.col("column") == c).select("value")
+        own = distinct.df.where(F.col("column") == c).select("value", "n")
         if distinct.small:
-            coded = own.select("value", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("value")) - 1).alias("code"))
+            coded = own.select("value", "n", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("value")) - 1).alias("code"))
         else:
             coded = dense_position(own, "value", "code").withColumn("code", F.col("code").cast("int"))
-        states[c] = State.of(coded)
+        states[c] = State.of(coded, count="n")
     return OrdinalEncoder({"columns": columns}, states)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lintel.operators.encode import label_classes
 from lintel.operators.state import State, lookup
+from lintel.session import cut
 
 
 def weight_table(df: DataFrame, label: str, power: float = 1.0) -> DataFrame:
@@ -29,25 +29,35 @@ def class_weights(df: DataFrame, label: str, power: float = 1.0, name: str = "we
 def confusion_matrix(
     df: DataFrame, label: str, prediction: str, classes: list[int] | None = None, by: list[str] | None = None
 ) -> DataFrame:
-    """Rows per (true, predicted) for every pair of classes, absent pairs as 0."""
+    """Rows per (true, predicted) for every pair of classes, absent pairs as 0.
+
+    The classes are those given and those seen on either side, so no row falls out of the grid. Rows with a null
+    label or prediction are lines of their own, where there are any.
+    """
     by = by or []
-    classes = classes or label_classes(df, label)
-    counts = df.groupBy(
+    # (classes + 1) ** 2 lines per fold: written once, then read for the classes and for the grid
+    counts = cut(df.groupBy(
         *by, F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted")
-    ).agg(F.count("*").alias("n"))
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(a).alias("a"), F.lit(p).alias("p")) for a in classes for p in classes])
-    )
-    # folds and classes only: the counts have at most classes ** 2 rows per fold
+    ).agg(F.count("*").alias("n")))
+    seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).where("c IS NOT NULL").distinct()
+    every = sorted({*(classes or []), *(r.c for r in seen.collect())})
+    if not every:
+        return counts
+    line = F.array(*[F.lit(c) for c in every])
     grid = (
-        counts.select(*by).distinct() if by else df.sparkSession.range(1)
-    ).withColumn("pair", pairs).select(*by, F.col("pair.a").alias("actual"), F.col("pair.p").alias("predicted"))
-    return grid.join(counts, [*by, "actual", "predicted"], "left").fillna(0, ["n"])
+        (counts.select(*by).distinct() if by else df.sparkSession.range(1))
+        .select(*by, F.explode(line).alias("actual")).withColumn("predicted", F.explode(line)).withColumn("n", F.lit(0))
+    )
+    return grid.unionByName(counts).groupBy(*by, "actual", "predicted").agg(F.sum("n").alias("n"))
 
 
 def class_report(matrix: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Precision, recall, F1 and support per class; a zero denominator gives 0."""
+    """Precision, recall, F1 and support per class; a zero denominator gives 0.
+
+    A row without a prediction is a miss of its class; a row without a label cannot be judged and counts nowhere.
+    """
     by = by or []
+    matrix = matrix.where("actual IS NOT NULL")
     sides = matrix.select(
         *by,
         F.inline(F.array(
@@ -57,7 +67,7 @@ def class_report(matrix: DataFrame, by: list[str] | None = None) -> DataFrame:
                      F.lit(0).alias("hit")),
         )),
     )
-    sums = sides.groupBy(*by, "class").agg(*[F.sum(c).alias(c) for c in ("support", "called", "hit")])
+    sums = sides.where("class IS NOT NULL").groupBy(*by, "class").agg(*[F.sum(c).alias(c) for c in ("support", "called", "hit")])
     precision = ratio0(F.col("hit"), F.col("called"))
     recall = ratio0(F.col("hit"), F.col("support"))
     return sums.select(
@@ -159,16 +169,6 @@ def prediction_distribution(df: DataFrame, prediction: str = "prediction") -> Da
     return df.groupBy(F.col(prediction).cast("int").alias("predicted")).agg(F.count("*").alias("n")).orderBy("predicted")
 
 
-def evaluate(df: DataFrame, label: str, prediction: str, classes: list[int] | None = None) -> dict[str, DataFrame]:
-    """Metrics, report and confusion matrix of one table of predictions."""
-    matrix = confusion_matrix(df, label, prediction, classes)
-    return {
-        "metrics": classification_metrics(matrix),
-        "report": classification_report(matrix),
-        "confusion": matrix,
-    }
-
-
 def evaluate_sets(sets: dict[str, DataFrame], label: str, prediction: str, classes: list[int] | None = None) -> DataFrame:
     """Accuracy and weighted metrics per named set (train, valid), in one aggregation."""
     marked = [df.select(F.lit(name).alias("set"), label, prediction) for name, df in sets.items()]

@@ -99,9 +99,7 @@ def _ladders(df: DataFrame, ranges: dict[str, list[Range]], slices: int | None)
     if slices is None:
         place = F.col("v")
     else:
-        # halves first: a range may be wider than the largest double
-        width = hi / slices - lo / slices
-        place = F.when(width > 0, F.floor(F.col("v") / width - lo / width)).otherwise(F.lit(0).cast("long"))
+        place = _slot(F.col("v"), lo, hi, slices)
     slot = F.when(F.col("z") % 2 == 1, place)
     counted = long.groupBy("i", "z", slot.alias("s")).agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")
@@ -115,6 +113,16 @@ def _ladders(df: DataFrame, ranges: dict[str, list[Range]], slices: int | None)
     return out
 
 
+def _slot(v: Column, lo: Column, hi: Column, slices: int) -> Column:
+    """The slice of v in its range, as a double: lo is in slice 0 and hi alone in the last one, so a range always narrows.
+
+    Differences of neighbouring doubles are exact, hence the difference to lo comes first. Halves, because a range may be
+    wider than the largest double; where half a range is 0 (subnormal neighbours) every value is its own slice.
+    """
+    half = hi / 2 - lo / 2
+    return F.when(half > 0, F.floor((v / 2 - lo / 2) / half * slices).cast("double")).otherwise(v)
+
+
 def _zone(v: Column, ends: Column, ranges: int) -> Column:
     """2i below range i and above the one before it, 2i + 1 inside it."""
     zone = F.lit(0)
@@ -153,13 +161,14 @@ def group_quantiles(
     df: DataFrame, keys: list[str], columns: list[str], probs: list[float], most: int = MAX_CANDIDATES
 ) -> DataFrame:
     """Exact quantiles per group: keys, column, n, and one column q0, q1, ... per probability."""
+    by = [*keys, "column"]
+    # equal values of a group become one row before any join, so a heavy value of a heavy group is no hot key
     long = df.select(
         *keys,
         F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
         ])),
-    ).where("v IS NOT NULL")
-    by = [*keys, "column"]
+    ).where("v IS NOT NULL").groupBy(*by, "v").agg(F.count("*").alias("rows"))
     parts = [_group_quantile(long, by, p, most).withColumnRenamed("q", f"q{i}") for i, p in enumerate(probs)]
     out = parts[0]
     for part in parts[1:]:
@@ -170,7 +179,7 @@ def group_quantiles(
 def _group_quantile(long: DataFrame, by: list[str], p: float, most: int) -> DataFrame:
     on = {k: k for k in by}
     rank = (F.col("n") - 1) * F.lit(p)
-    first = long.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    first = long.groupBy(*by).agg(F.sum("rows").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     ranges = State.of(
         first.select("*", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside")), count="n"
     )
@@ -178,7 +187,7 @@ def _group_quantile(long: DataFrame, by: list[str], p: float, most: int) -> Data
         ranges = State.of(_narrow(lookup(long, ranges, on), by, rank), count="n")
     counted = (
         lookup(long, ranges, on).where(F.col("v").between(F.col("lo"), F.col("hi")))
-        .groupBy(*by, "n", "below", "v").agg(F.count("*").alias("rows"))
+        .select(*by, "n", "below", "v", "rows")
     )
     # at most `most` values of a group are left
     upto = F.col("below") + F.sum("rows").over(W.partitionBy(*by).orderBy("v"))
@@ -193,12 +202,11 @@ def _holds(r: Column) -> Column:
 
 def _narrow(placed: DataFrame, by: list[str], rank: Column) -> DataFrame:
     """Each group's range cut down to the slices that hold its wanted rank."""
-    width = F.col("hi") / GROUP_SLICES - F.col("lo") / GROUP_SLICES
-    slot = F.when(width > 0, F.floor(F.col("v") / width - F.col("lo") / width)).otherwise(0)
+    slot = _slot(F.col("v"), F.col("lo"), F.col("hi"), GROUP_SLICES)
     counted = (
         placed.where(F.col("v").between(F.col("lo"), F.col("hi")))
         .groupBy(*by, "n", "below", slot.alias("slot"))
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("rows"))
+        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("rows").alias("rows"))
     )
     upto = F.col("below") + F.sum("rows").over(W.partitionBy(*by).orderBy("slot"))  # slices of a group
     steps = counted.select(*by, "n", "lo", "hi", "rows", upto.alias("upto"))

@@ -180,14 +180,15 @@ def seats(df: DataFrame, key: str, digits: int | None = None) -> DataFrame:
     return exact_rank(df.select(key), [], F.md5(F.col(key).cast("string").cast("binary")), key, "__i", digits)
 
 
-def permuted_column(
-    df: DataFrame, column: str, key: str, seed: int, places: DataFrame | None = None, digits: int | None = None
+def permuted_rows(
+    df: DataFrame, columns: list[str], key: str, seed: int, places: DataFrame | None = None, digits: int | None = None
 ) -> DataFrame:
-    """Column values dealt out anew: the row at place i by `seats` gets the value at place i by md5.
+    """df with columns dealt out anew beside the own ones, as __p_<column>: the row at place i by `seats` gets the row at place i by md5.
 
-    `places` and `digits` save work when one table is permuted many times.
+    One rank and two joins serve all columns. `places` and `digits` save work when one table is permuted many times.
     """
     places = seats(df, key, digits) if places is None else places
-    draw = F.md5(F.concat(F.lit(f"{seed}:{column}:"), F.col(key).cast("string")).cast("binary"))
-    values = exact_rank(df.select(key, column), [], draw, key, "__i", digits).drop(key)
-    return df.drop(column).join(places.join(values, "__i").drop("__i"), key)
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    dealt = df.select(key, *[F.col(c).alias(f"__p_{c}") for c in columns])
+    values = exact_rank(dealt, [], draw, key, "__i", digits).drop(key)
+    return df.join(places.join(values, "__i").drop("__i"), key)

@@ -1,6 +1,6 @@
 """Fitted state: small tables learnt by `fit`, applied to other rows by `lookup`.
 
-A state whose size is proven small (at most BOUND rows, checked when it is fitted) is held as
+A state whose size is proven small (at most BOUND rows and BYTES of text, checked when it is fitted) is held as
 a local relation and broadcast. A larger one stays a checkpointed table and is joined by
 shuffle, with the keys known to be frequent spread over several partitions.
 """
@@ -14,10 +14,12 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from lintel.session import cut
 
 BOUND = 50_000
+BYTES = 32 << 20
 HOT_SHARE = 1e-3
 SALTS = 64
 
@@ -33,9 +35,20 @@ class State:
     @classmethod
     def of(cls, df: DataFrame, count: str | None = None, bound: int | None = None) -> State:
         bound = BOUND if bound is None else bound
-        head = df.limit(bound + 1).toArrow()
-        if head.num_rows <= bound:
-            return cls(df.sparkSession.createDataFrame(head, schema=df.schema), True, count)
+        head = df.limit(bound + 1)
+        texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+        if texts:
+            # the size of texts is known before any of them comes to the driver
+            head = head.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            size = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in texts) if texts else F.lit(0)
+            n, bytes_ = head.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first() if texts else (0, 0)
+            table = head.toArrow() if n <= bound and bytes_ <= BYTES else None
+        finally:
+            if texts:
+                head.unpersist()
+        if table is not None and table.num_rows <= bound:
+            return cls(df.sparkSession.createDataFrame(table, schema=df.schema), True, count)
         return cls(cut(df), False, count)
 
     @classmethod
@@ -101,7 +114,8 @@ def _salt(
         f.name for f in df.schema
         if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))
     ]
-    row_hash = F.xxhash64(*[F.col(c) for c in atomic])
+    # equal rows share a hash: the partition that they come from tells them apart, and is the same when it is made again
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in atomic])
     left_types = {left: state.df.schema[r].dataType for left, r in on.items()}
     left_hash = F.xxhash64(*[F.col(left).cast(t) for left, t in left_types.items()])
     salted = df.withColumn(

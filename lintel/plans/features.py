@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from lintel.functions.derived import DERIVED, INPUTS, add_derived, ensure_derived, fit_plot_edges
+from lintel.functions.derived import DERIVED, INPUTS, add_derived, fit_plot_edges
 from lintel.functions.nullsafe import blank_or_null_flag, log1p_clip, to_category
 from lintel.operators.clean import columns_with_nulls
-from lintel.operators.encode import OneHot, class_counts, fit_one_hot, label_classes, smoothed
+from lintel.operators.encode import MAX_ONE_HOT, OneHot, class_counts, fit_one_hot, label_classes, smoothed
 from lintel.operators.groups import relative_to_group
 from lintel.operators.neighbours import knn_impute
 from lintel.operators.profile import melt
@@ -53,6 +53,7 @@ class FeatureConfig:
     impute: str = "median"  # or "knn"
     neighbours: int = 5
     classes: list[int] | None = None
+    most_one_hot: int = MAX_ONE_HOT
 
 
 class Features(Fitted):
@@ -90,8 +91,13 @@ class Features(Fitted):
             joined = lookup(
                 joined.withColumn("__cat", to_category(c)), self.states[c], {"__cat": "value"}, add, fills
             ).drop("__cat")
+        joined = self.one_hot().vectors(joined)
         return joined.select(*kept, *[col.alias(name) for name, col in self._outputs(joined).items()])
 
+    def one_hot(self) -> OneHot:
+        wide = self.params.get("wide_one_hot", {})
+        return OneHot({"values": self.params["one_hot"], "wide": wide}, {c: self.states[f"hot_{c}"] for c in wide})
+
     def _outputs(self, joined: DataFrame) -> dict[str, Column]:
         p = self.params
         out: dict[str, Column] = {}
@@ -103,7 +109,8 @@ class Features(Fitted):
             out[c] = (value - centre) / spread
         for c in p["flags"]:
             out[f"{c}_missing"] = F.col(c).isNull().cast("int")
-        one_hot = OneHot({"values": p["one_hot"]})
+        one_hot = self.one_hot()
+        out.update({f"OneHot__{c}": F.col(f"OneHot__{c}") for c in p.get("wide_one_hot", {})})
         out.update({name: col for (_, _, name), col in zip(one_hot.names(), one_hot.columns(), strict=True)})
         if p["business"]:
             out[f"{p['business']}_blank"] = blank_or_null_flag(joined, p["business"])
@@ -123,7 +130,7 @@ class Features(Fitted):
     def names(self) -> list[str]:
         """Feature names in output order."""
         p = self.params
-        one_hot = [n for _, _, n in OneHot({"values": p["one_hot"]}).names()]
+        one_hot = [f"OneHot__{c}" for c in p.get("wide_one_hot", {})] + [n for _, _, n in self.one_hot().names()]
         return [
             *p["numeric"], *[f"{c}_missing" for c in p["flags"]], *one_hot,
             *([f"{p['business']}_blank"] if p["business"] else []),
@@ -133,6 +140,12 @@ class Features(Fitted):
             *[f"{v}_{kind}__{g}" for g in p["groups"] for v in p["grouped"] for kind in ("ZScore", "RelShift")],
         ]
 
+    @property
+    def slots(self) -> list[str]:
+        """Names of the slots of the assembled vector: a sparse one-hot column has one for each value."""
+        wide = {f"OneHot__{c}": n for c, n in self.params.get("wide_one_hot", {}).items()}
+        return [s for name in self.names for s in ([f"{name}[{i}]" for i in range(wide[name])] if name in wide else [name])]
+
 
 def _wide_name(c: str, numeric: list[str]) -> str:
     return f"wide__{c}" if c in numeric else c
@@ -186,7 +199,9 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         plot_edges = fit_plot_edges(df) if derived else None
-        made = add_derived(df, DERIVED, plot_edges) if derived else ensure_derived(df)
+        # made as apply() makes them, whether or not the input has some of its own
+        need = DERIVED if derived else sorted(grouped, key=DERIVED.index)
+        made = add_derived(df, need, plot_edges) if need else df
         # one search for the medians of raw and derived columns, where names do not clash
         raw = [c for c in numeric if c not in derived] if config.impute == "median" else []
         mids = {c: q[0] for c, q in column_quantiles(made, [*raw, *derived], [0.5]).items()}
@@ -194,14 +209,15 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
         derived_medians = {c: mids[c] for c in derived}
         states, prior = _keyed_fit(made, keyed, grouped, label, classes, config.alpha)
         group_medians = _group_medians(made, groups, grouped, states)
-        one_hot = fit_one_hot(df, one_hot_columns).params["values"] if one_hot_columns else {}
+        hot = fit_one_hot(df, one_hot_columns, config.most_one_hot) if one_hot_columns else OneHot({"values": {}, "wide": {}})
+        states.update({f"hot_{c}": state for c, state in hot.states.items()})
     finally:
         df.unpersist()
 
     return Features(
         {
             "key": key, "label": label, "carry": carry, "numeric": numeric, "flags": flags, "log": log,
-            "medians": medians, "scale": scale, "one_hot": one_hot,
+            "medians": medians, "scale": scale, "one_hot": hot.params["values"], "wide_one_hot": hot.params["wide"],
             "business": business, "derived": derived, "derived_medians": derived_medians,
             "plot_edges": plot_edges, "frequency": frequency, "target": target, "prior": prior,
             "keyed": keyed, "groups": groups, "grouped": grouped, "group_medians": group_medians,
@@ -250,17 +266,17 @@ def _keyed_fit(
     """Frequency, smoothed class probabilities and group mean and std per value of each key column."""
     if not keyed:
         return {}, []
-    sizes = made.agg(F.count("*").alias("n"), *class_counts(label, classes)).first()
-    prior = [sizes[f"n{i}"] / sizes.n for i in range(len(classes))]
+    sizes = made.agg(F.count("*").alias("n"), F.count(label).alias("labelled"), *class_counts(label, classes)).first()
+    prior = [sizes[f"n{i}"] / (sizes.labelled or 1) for i in range(len(classes))]
     slim = made.select(label, *grouped, *[to_category(c).alias(c) for c in keyed])
     counts = melt(slim, keyed, "string", [label, *grouped]).groupBy("column", "value").agg(
-        F.count("*").alias("n"), *class_counts(label, classes),
+        F.count("*").alias("n"), F.count(label).alias("labelled"), *class_counts(label, classes),
         *[F.avg(v).alias(f"mean_{v}") for v in grouped],
         *[F.stddev_samp(v).alias(f"std_{v}") for v in grouped],
     )
     table = counts.select(
         "column", "value", "n", (F.col("n") / F.lit(float(sizes.n))).alias("fe"),
-        *[smoothed(F.col(f"n{i}"), F.col("n"), prior[i], alpha).alias(f"p{i}") for i in range(len(classes))],
+        *[smoothed(F.col(f"n{i}"), F.col("labelled"), prior[i], alpha).alias(f"p{i}") for i in range(len(classes))],
         *[f"{m}_{v}" for v in grouped for m in ("mean", "std")],
     )
     whole = State.of(table, count="n")

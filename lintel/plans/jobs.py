@@ -15,7 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from lintel.operators import audit, correlation, evaluate, ranking
 from lintel.operators.schema import domain_union
 from lintel.plans.features import FeatureConfig, Features, fit_features
-from lintel.plans.models import assemble, feature_importance, logistic, random_forest
+from lintel.plans.models import assemble, feature_importance, load_model, logistic, random_forest, save_model
 from lintel.session import cut
 from lintel.sources import tables
 
@@ -70,16 +70,16 @@ def train_job(
 def save_trained(spark, trained: Trained, path: str) -> None:
     """Features, model and metrics under one folder."""
     trained.features.save(spark, f"{path}/features")
-    trained.model.write().overwrite().save(f"{path}/model")
+    save_model(spark, trained.model, f"{path}/model")
     tables.write_report(trained.metrics, f"{path}/metrics")
     if trained.donors is not None:
         kept = [trained.key, *trained.features.params["numeric"]]
         trained.donors.select(kept).write.mode("overwrite").parquet(f"{path}/donors")
 
 
-def load_trained(spark, path: str, model_class) -> Trained:
+def load_trained(spark, path: str) -> Trained:
     features = Features.load(spark, f"{path}/features")
-    model = model_class.load(f"{path}/model")
+    model = load_model(spark, f"{path}/model")
     metrics = spark.read.json(f"{path}/metrics")
     knn = features.params["impute"] == "knn"
     donors = spark.read.parquet(f"{path}/donors") if knn else None
@@ -89,11 +89,13 @@ def load_trained(spark, path: str, model_class) -> Trained:
 def predict_job(trained: Trained, df: DataFrame, proba: bool = False) -> DataFrame:
     """Key, Id and predicted label; with `proba` the class probabilities too."""
     scored = trained.score(df)
-    numbered = tables.number_predictions(scored, trained.key, target=trained.label)
     if not proba:
-        return numbered
-    probs = scored.select(trained.key, vector_to_array("probability").alias("probs"))
-    return numbered.join(probs, trained.key)
+        return tables.number_predictions(scored, trained.key, target=trained.label)
+    # the probabilities ride along through the numbering, so rows are scored once
+    slim = scored.select(
+        trained.key, F.col("prediction").cast("int").alias(trained.label), vector_to_array("probability").alias("probs")
+    )
+    return ranking.dense_position(slim, trained.key, "Id")
 
 
 def fold_tables(
@@ -116,20 +118,35 @@ def fold_tables(
                 table.unpersist()
 
 
+@dataclass
+class CrossValidated:
+    """What cross-validation yields: metrics over folds, per fold, and one report of all folds."""
+
+    summary: DataFrame
+    folds: DataFrame
+    report: DataFrame
+
+
 def cv_job(
-    df: DataFrame, config: FeatureConfig, build: Build, k: int = 3, seed: int = 42, weight_power: float | None = 1.0
-) -> DataFrame:
-    """Mean, std, min and max of the validation metrics over folds."""
-    counts = [
-        cut(
-            evaluate.confusion_matrix(build().fit(train).transform(valid), config.label, "prediction", config.classes)
-            .withColumn("fold", F.lit(f))
-        )
-        for f, (train, valid) in enumerate(fold_tables(df, config, k, seed, weight_power))
-    ]
+    df: DataFrame, config: FeatureConfig, build: Build, k: int = 3, seed: int = 42, weight_power: float | None = 1.0,
+    path: str | None = None,
+) -> CrossValidated:
+    """Mean, std, min and max of the validation metrics over folds, the folds' own metrics, and the combined report.
+
+    With a path every fold's model is saved below it.
+    """
+    counts = []
+    for f, (train, valid) in enumerate(fold_tables(df, config, k, seed, weight_power)):
+        model = build().fit(train)
+        if path:
+            save_model(df.sparkSession, model, f"{path}/fold-{f}")
+        matrix = evaluate.confusion_matrix(model.transform(valid), config.label, "prediction", config.classes)
+        counts.append(cut(matrix.withColumn("fold", F.lit(f))))
     matrix = reduce(DataFrame.unionByName, counts)
-    rows = evaluate.metric_rows(evaluate.classification_metrics(matrix, ["fold"]), ["fold"])
-    return evaluate.aggregate_folds(rows)
+    metrics = evaluate.classification_metrics(matrix, ["fold"])
+    rows = evaluate.metric_rows(metrics, ["fold"])
+    report = evaluate.combine_reports(evaluate.class_report(matrix, ["fold"]), metrics.select("fold", "accuracy"))
+    return CrossValidated(evaluate.aggregate_folds(rows), metrics, report)
 
 
 def adversarial_validation(
@@ -178,7 +195,7 @@ def audit_job(trained: Trained, train: DataFrame, valid: DataFrame, columns: lis
 
     drift, _ = adversarial_validation(train_features, valid_features, key, columns)
     return {
-        "feature_importance": feature_importance(trained.model, names, train),
+        "feature_importance": feature_importance(trained.model, trained.features.slots, train),
         "permutation_importance": audit.permutation_importance(valid_features, columns, label, key, score, repeats),
         "adversarial_validation": drift,
         "high_correlations": correlation.redundant_pairs(train_features, columns, threshold),

@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
+import importlib
+import json
 import math
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasWeightCol
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from lintel.operators.neighbours import argmax
 
 Builder = Callable[[dict], Estimator]
+#: Classes whose learners are fitted at a time.
+PARALLEL = 3
 
 
 def assemble(df: DataFrame, names: list[str], out: str = "features") -> DataFrame:
@@ -55,14 +61,35 @@ def gaussian_nb(params: dict | None = None, label: str = "label", weight: str |
 
 
 def linear_svm(params: dict | None = None, label: str = "label", weight: str | None = None) -> Estimator:
+    """One linear machine per class; the softmax of their margins is the class probability."""
     p = {"maxIter": 50, "regParam": 0.01, **(params or {})}
-    return _weighted(OneVsRest(classifier=LinearSVC(**p), labelCol=label, parallelism=3), weight)
+    return _weighted(ClassScores(kind="svm", labelCol=label).with_params(p), weight)
 
 
-def mlp(layers: list[int], params: dict | None = None, label: str = "label") -> Estimator:
-    """Feed-forward net; `layers` from input width to number of classes."""
-    p = {"maxIter": 100, "seed": 42, **(params or {})}
-    return MultilayerPerceptronClassifier(layers=layers, labelCol=label, **p)
+class Mlp:
+    """Feed-forward net with hidden layers as given; input width and classes are read from the rows."""
+
+    def __init__(self, params: dict | None = None, label: str = "label"):
+        self.params, self.label = {"maxIter": 100, "seed": 42, "hidden": [16], **(params or {})}, label
+
+    def fit(self, df: DataFrame):
+        p = dict(self.params)
+        hidden = p.pop("hidden")
+        if "layers" not in p:
+            width = df.select(F.coalesce(F.max(F.size(vector_to_array("features"))), F.lit(0))).first()[0]
+            top = df.agg(F.max(F.col(self.label).cast("int"))).first()[0]
+            p["layers"] = [width, *hidden, int(top or 0) + 1]
+        return MultilayerPerceptronClassifier(labelCol=self.label, **p).fit(df)
+
+
+def mlp(params: dict | None = None, label: str = "label", weight: str | None = None) -> Mlp:
+    """Feed-forward net; it takes no row weights."""
+    return Mlp(params, label)
+
+
+def knn(params: dict | None = None, label: str = "label", weight: str | None = None) -> KnnClassifier:
+    """Nearest neighbours; rows have one weight each."""
+    return KnnClassifier(label=label, **(params or {}))
 
 
 def boosted_trees(
@@ -92,17 +119,19 @@ BUILDERS: dict[str, Callable[..., Estimator]] = {
     "svm": linear_svm,
     "ridge": ridge_classifier,
     "mlp": mlp,
+    "knn": knn,
 }
 
 
 class _ScoreParams(HasLabelCol, HasFeaturesCol, HasPredictionCol, HasProbabilityCol, HasWeightCol):
-    kind = Param(Params._dummy(), "kind", "boost or ridge", TypeConverters.toString)
+    kind = Param(Params._dummy(), "kind", "boost, svm or ridge", TypeConverters.toString)
 
 
 class ClassScores(Estimator, _ScoreParams, DefaultParamsWritable, DefaultParamsReadable):
     """One binary learner per class; their scores give class probabilities.
 
     boost: gradient-boosted trees, probabilities of the classes brought to sum 1.
+    svm: linear machines, softmax of the margins.
     ridge: least squares on +-1 targets with L2, softmax of the scores.
     """
 
@@ -122,18 +151,24 @@ class ClassScores(Estimator, _ScoreParams, DefaultParamsWritable, DefaultParamsR
 
     def _fit(self, dataset: DataFrame) -> ClassScoresModel:
         label, features = self.getLabelCol(), self.getFeaturesCol()
-        classes = sorted(int(r[0]) for r in dataset.select(label).distinct().limit(1001).collect())
+        found = [r[0] for r in dataset.select(label).distinct().collect()]  # one model is fitted for each
+        if None in found:
+            raise ValueError(f"{label} has null labels: leave such rows out before fitting")
+        classes = sorted(int(y) for y in found)
         kind = self.getOrDefault("kind")
         weight = self.getWeightCol() if self.isDefined("weightCol") else None
         held = dataset.persist()
+
+        def fit(y: int):
+            hit = F.col(label) == y
+            target = F.when(hit, 1.0).otherwise(-1.0) if kind == "ridge" else hit.cast("double")
+            learner = {"boost": GBTClassifier, "svm": LinearSVC, "ridge": LinearRegression}[kind]
+            estimator = learner(featuresCol=features, labelCol="__y", **self.base_params)
+            return _weighted(estimator, weight).fit(held.withColumn("__y", target))
+
         try:
-            models = []
-            for y in classes:
-                hit = F.col(label) == y
-                target = hit.cast("double") if kind == "boost" else F.when(hit, 1.0).otherwise(-1.0)
-                learner = GBTClassifier if kind == "boost" else LinearRegression
-                estimator = learner(featuresCol=features, labelCol="__y", **self.base_params)
-                models.append(_weighted(estimator, weight).fit(held.withColumn("__y", target)))
+            with ThreadPool(PARALLEL) as pool:
+                models = pool.map(fit, classes)
         finally:
             held.unpersist()
         return self._copyValues(ClassScoresModel(classes, models))
@@ -147,7 +182,8 @@ class ClassScoresModel(Model, _ScoreParams):
         self.models = models
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        boost = self.getOrDefault("kind") == "boost"
+        kind = self.getOrDefault("kind")
+        boost = kind == "boost"
         out = dataset
         names = [f"__s{i}" for i in range(len(self.classes))]
         for name, model in zip(names, self.models, strict=True):
@@ -155,6 +191,9 @@ class ClassScoresModel(Model, _ScoreParams):
             if boost:
                 model = model.setPredictionCol("__p").setRawPredictionCol("__r").setProbabilityCol("__q")
                 out = model.transform(out).withColumn(name, vector_to_array("__q")[1]).drop("__p", "__r", "__q")
+            elif kind == "svm":
+                model = model.setPredictionCol("__p").setRawPredictionCol("__r")
+                out = model.transform(out).withColumn(name, vector_to_array("__r")[1]).drop("__p", "__r")
             else:
                 out = model.setPredictionCol(name).transform(out)
         shares = shares_of(names) if boost else softmax(names)
@@ -165,16 +204,93 @@ class ClassScoresModel(Model, _ScoreParams):
             self.getPredictionCol(): argmax(picked, self.classes).cast("double"),
         }).drop(*names, *picked)
 
-    def save_to(self, path: str) -> None:
-        for y, m in zip(self.classes, self.models, strict=True):
-            m.write().overwrite().save(f"{path}/class={y}")
 
-    @classmethod
-    def load_from(cls, path: str, classes: list[int], kind: str) -> ClassScoresModel:
-        loader = GBTClassificationModel if kind == "boost" else LinearRegressionModel
-        model = cls(classes, [loader.load(f"{path}/class={y}") for y in classes])
-        model._set(kind=kind)
-        return model
+class KnnClassifier:
+    """k nearest neighbours by Euclidean distance over a bounded number of labelled rows.
+
+    `most` bounds the rows kept, taken in the order of a hash of their features and label: scoring is then linear in the rows
+    scored, without a shuffle. weights: uniform or distance.
+    """
+
+    def __init__(self, k: int = 5, weights: str = "uniform", most: int = 20_000, label: str = "label"):
+        self.k, self.weights, self.most, self.label = k, weights, most, label
+
+    def fit(self, df: DataFrame) -> KnnModel:
+        rows = df.where(F.col(self.label).isNotNull()).select(
+            vector_to_array("features").alias("x"), F.col(self.label).cast("int").alias("y")
+        )
+        kept = rows.orderBy(F.xxhash64("x", "y"), "y").limit(self.most).toPandas()
+        return KnnModel(np.array(kept["x"].tolist(), float), kept["y"].to_numpy(int), self.k, self.weights)
+
+
+class KnnModel:
+    def __init__(self, x: np.ndarray, y: np.ndarray, k: int, weights: str):
+        self.x, self.y, self.k, self.weights = x, y, k, weights
+        self.classes = sorted(set(y.tolist()))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        x, k, by_distance = self.x, min(self.k, len(self.x)), self.weights == "distance"
+        hits = (self.y[:, None] == np.array(range(max(self.classes) + 1))[None, :]).astype(float)
+        squares = (x * x).sum(1)
+
+        @pandas_udf("array<double>")
+        def shares(features: pd.Series) -> pd.Series:
+            out = []
+            for at in range(0, len(features), 512):
+                q = np.array(features.iloc[at : at + 512].tolist(), float)
+                far = np.maximum((q * q).sum(1)[:, None] + squares[None, :] - 2 * q @ x.T, 0)
+                near = np.argpartition(far, k - 1, axis=1)[:, :k]
+                gap = np.sqrt(np.take_along_axis(far, near, 1))
+                exact = gap < 1e-12
+                w = np.where(exact.any(1)[:, None], exact, 1 / np.maximum(gap, 1e-12)) if by_distance else np.ones_like(gap)
+                votes = (hits[near] * w[:, :, None]).sum(1)
+                out += (votes / votes.sum(1, keepdims=True)).tolist()
+            return pd.Series(out)
+
+        names = [F.get("__shares", F.lit(c)) for c in self.classes]
+        out = df.withColumn("__shares", shares(vector_to_array("features")))
+        best = F.greatest(*names) if len(names) > 1 else names[0]
+        label = F.lit(float(self.classes[-1]))
+        for c, name in list(zip(self.classes, names, strict=True))[-2::-1]:
+            label = F.when(name == best, F.lit(float(c))).otherwise(label)
+        return out.withColumns({"probability": array_to_vector("__shares"), "prediction": label}).drop("__shares")
+
+
+def save_model(spark: SparkSession, model, path: str) -> None:
+    """Any learner's model under one folder, with a manifest that tells load_model what it is."""
+    if isinstance(model, ClassScoresModel):
+        told = {"type": "scores", "kind": model.getOrDefault("kind"), "classes": model.classes,
+                "columns": {c: model.getOrDefault(c) for c in ("labelCol", "featuresCol", "predictionCol", "probabilityCol")}}
+        parts = {f"part-{i}": m for i, m in enumerate(model.models)}
+    elif isinstance(model, KnnModel):
+        told, parts = {"type": "knn", "k": model.k, "weights": model.weights}, {}
+        rows = pd.DataFrame({"x": model.x.tolist(), "y": model.y.tolist()})
+        spark.createDataFrame(rows, "x array<double>, y int").write.mode("overwrite").parquet(f"{path}/rows")
+    elif hasattr(model, "parts"):
+        told, parts = model.parts()
+    else:
+        told, parts = {"type": "mllib", "module": type(model).__module__, "name": type(model).__name__}, {}
+        model.write().overwrite().save(f"{path}/model")
+    for name, part in parts.items():
+        save_model(spark, part, f"{path}/{name}")
+    spark.createDataFrame([(json.dumps(told),)], "manifest string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+
+
+def load_model(spark: SparkSession, path: str):
+    told = json.loads(spark.read.text(f"{path}/manifest").first().value)
+    if told["type"] == "mllib":
+        if not told["module"].startswith("pyspark.ml."):
+            raise ValueError(f"{told['module']} is no module of learners")
+        return getattr(importlib.import_module(told["module"]), told["name"]).load(f"{path}/model")
+    if told["type"] == "knn":
+        rows = spark.read.parquet(f"{path}/rows").toPandas()
+        return KnnModel(np.array(rows["x"].tolist(), float), rows["y"].to_numpy(int), told["k"], told["weights"])
+    if told["type"] == "scores":
+        model = ClassScoresModel(told["classes"], [load_model(spark, f"{path}/part-{i}") for i in range(len(told["classes"]))])
+        return model._set(kind=told["kind"], **told["columns"])
+    from lintel.plans import ensemble
+
+    return ensemble.load_parts(told, lambda name: load_model(spark, f"{path}/{name}"))
 
 
 def shares_of(names: list[str]) -> list[Column]:

@@ -21,8 +21,8 @@ def read_table(
 ) -> DataFrame:
     """Read CSV with header, or Parquet, with every kind of missing value turned into null.
 
-    CSV text is read once as text; with a schema each field is cast and a text that does not
-    parse is null. Without a schema Spark infers types (one more pass over the file).
+    CSV text is read once as text; with a schema each field is found by its name in the header and cast, and
+    a text that does not parse is null. Without a schema Spark infers types (one more pass over the file).
     """
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "parquet":
@@ -34,9 +34,12 @@ def read_table(
         text = na_to_null(reader.csv(path))
         return _cast_inferred(text)
     want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in want])
-    text = na_to_null(reader.schema(text_schema).csv(path))
-    return null_out(text.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in want]))
+    # files of one table must have one header, else fields would be read by place
+    text = na_to_null(reader.option("enforceSchema", False).csv(path))
+    missing = [f.name for f in want if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header of {path}: {text.columns}")
+    return null_out(text.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in want]))
 
 
 def na_to_null(df: DataFrame) -> DataFrame:

@@ -82,10 +82,11 @@ def main() -> None:
     sf_dir = f"/root/testdata/{sys.argv[1]}"
     queries, oracles = e.queries(), e.oracle_sql()
     names = sys.argv[2:] or list(queries)
-    if names and names[0].startswith("@"):
+    if any(n.startswith("@") for n in names):
         import importlib
 
-        names = [n for a in names for n in importlib.import_module(f"lintel.checks.{a[1:]}").entries()]
+        modules = {a: list(importlib.import_module(f"lintel.checks.{a[1:]}").entries()) for a in names if a.startswith("@")}
+        names = [n for a in names for n in modules.get(a, [a])]
     spark = session()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

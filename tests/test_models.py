@@ -2,46 +2,13 @@
 
 import pytest
 from conftest import SMALL
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from lintel.checks.learning import config, forest
-from lintel.plans import jobs
+from lintel.plans import ensemble, jobs, models
 from lintel.sources.listing import LABEL, listing
 
-import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-
-
-@pytest.mark.parametrize("name", ["logistic", "random_forest", "boosted_trees", "gaussian_nb", "linear_svm", "ridge_classifier", "mlp", "stack"])
-def test_above_the_largest_class(spark, name):
-    got = QUERIES[name](spark, SMALL).first()
-    assert got.accuracy > got.majority + 0.05
-
-
-def test_probabilities_add_up(spark):
-    got = QUERIES["ridge_probabilities"](spark, SMALL).first()
-    assert got.n_rows == got.n_sum_one > 0
-
-
-def test_out_of_fold_loses_no_key(spark):
-    got = QUERIES["out_of_fold"](spark, SMALL).first()
-    assert got.n_rows == got.n_keys == got.n_sum_one > 0
-
-
-def test_search_reports_every_trial(spark):
-    trials = QUERIES["param_search"](spark, SMALL).collect()
-    assert len(trials) == 2 and trials[0].mean_accuracy >= trials[1].mean_accuracy
-
-
-def test_cross_validation(spark):
-    got = {r.metric: r for r in QUERIES["cv_job"](spark, SMALL).collect()}
-    assert set(got) == {"accuracy", "precision", "recall", "f1"}
-    assert got["accuracy"]["min"] <= got["accuracy"]["mean"] <= got["accuracy"]["max"]
-
-
-def test_train_predict_save_load(spark):
-    assert QUERIES["predict_job"](spark, SMALL).count() == 6000
-
 
 def test_train_job_reports_both_sets(spark):
     trained = jobs.train_job(listing(spark, SMALL), config(wide=False, group_statistics=False, drop=["BuildingStyle"]), forest())
@@ -50,21 +17,42 @@ def test_train_job_reports_both_sets(spark):
     assert trained.score(listing(spark, SMALL).drop(LABEL)).count() == 6000
 
 
-def test_audit_reports(spark):
-    got = {r.report: r.n_lines for r in QUERIES["audit_job"](spark, SMALL).collect()}
-    assert got["permutation_importance"] == 2 and got["adversarial_validation"] == 1
-
-
-def test_drift_weights_are_probabilities(spark):
-    got = QUERIES["drift_weights"](spark, SMALL)
-    assert got.where("drift_weight < 0 OR drift_weight > 1").count() == 0
-
-
 def test_train_with_neighbour_imputation(spark, tmp_path):
-    from pyspark.ml.classification import RandomForestClassificationModel
-
     rows = listing(spark, SMALL).select("listing_id", LABEL, "PlotSize", "UpperFloorArea", "UnfinishedBasementArea", "RoofType")
     trained = jobs.train_job(rows, config(impute="knn", wide=False, group_statistics=False), forest())
     jobs.save_trained(spark, trained, str(tmp_path / "t"))
-    loaded = jobs.load_trained(spark, str(tmp_path / "t"), RandomForestClassificationModel)
+    loaded = jobs.load_trained(spark, str(tmp_path / "t"))
     assert jobs.predict_job(loaded, rows.drop(LABEL)).count() == 6000
+
+
+def test_null_labels_are_refused_and_many_classes_fitted(spark):
+    rows = spark.createDataFrame([(float(i % 1500), float(i)) for i in range(1500)] , "label double, x double")
+    with pytest.raises(ValueError, match="null labels"):
+        models.ridge_classifier().fit(models.assemble(rows.union(spark.sql("SELECT CAST(NULL AS DOUBLE), 1D")), ["x"]))
+    from lintel.operators.encode import label_classes
+
+    assert len(label_classes(rows, "label")) == 1500
+
+
+def test_knn_votes_of_near_rows(spark):
+    rows = models.assemble(spark.createDataFrame([(0.0, 0.0), (0.0, 0.1), (1.0, 5.0), (1.0, 5.1), (2.0, 9.0)], "label double, x double"), ["x"])
+    for weights in ("uniform", "distance"):
+        model = models.knn({"k": 2, "weights": weights}).fit(rows)
+        got = {r.x: r for r in model.transform(rows).collect()}
+        assert [got[x].prediction for x in (0.0, 0.1, 5.0, 5.1)] == [0.0, 0.0, 1.0, 1.0]
+        assert all(abs(sum(r.probability.toArray()) - 1) < 1e-9 for r in got.values())
+
+
+def test_voting_by_count_and_by_mean(spark):
+    class Says:
+        def __init__(self, probs):
+            self.probs = probs
+
+        def transform(self, df):
+            best = float(max(range(len(self.probs)), key=self.probs.__getitem__))
+            return df.withColumns({"probability": array_to_vector(F.array(*map(F.lit, self.probs))), "prediction": F.lit(best)})
+
+    base = {"a": Says([0.4, 0.6]), "b": Says([0.45, 0.55]), "c": Says([1.0, 0.0])}
+    one = spark.range(1)
+    assert ensemble.Voting(base, [0, 1], soft=True).transform(one).first().prediction == 0.0
+    assert ensemble.Voting(base, [0, 1], soft=False).transform(one).first().prediction == 1.0
