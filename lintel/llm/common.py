@@ -28,13 +28,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write df as a compressed table in the shared folder and go on from the written rows.
 
     This cuts lineage: when an executor is lost, nothing before the table is computed again.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

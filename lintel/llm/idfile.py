@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lintel.llm.common import row_key, shared_path, stored, whole_text
+from lintel.llm.common import shared_path, stored, whole_text
 from lintel.llm.vocabulary import encoder
 
 BLOCK_IDS = 1 << 16
@@ -54,7 +54,10 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end: int | None) -> DataFrame:
-    """(doc_id, key, ids): ids of every whole text as little-endian bytes, and the end id where one is given."""
+    """(doc_id, key, ids): ids of every whole text as little-endian bytes, and the end id where one is given.
+
+    key is a hash of the text, which orders rows of one doc_id.
+    """
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
@@ -63,8 +66,8 @@ def token_ids(docs: DataFrame, tokenizer: str, end: int | None) -> DataFrame:
             ids = [coder.encode(t) + tail for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], pa.array(ids, pa.binary())], ["doc_id", "key", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("key"), whole_text().alias("text"))
-    return rows.mapInArrow(batches, "doc_id bigint, key binary, ids binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(whole_text()).alias("key"), whole_text().alias("text"))
+    return rows.mapInArrow(batches, "doc_id bigint, key bigint, ids binary")
 
 
 def frequencies(tokens: DataFrame, dtype: str, size: int) -> DataFrame:
@@ -90,7 +93,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int | None = 0) -
     spark = docs.sparkSession
     coder = encoder(tokenizer)
     dtype, size = coder.dtype, coder.size
-    tokens = stored(token_ids(docs, tokenizer, end), "ids")
+    tokens = stored(token_ids(docs, tokenizer, end), "ids", "snappy")
     counts = frequencies(tokens, dtype, size).toPandas()
     n = np.zeros(size, np.int64)
     n[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
