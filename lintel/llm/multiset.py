@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from lintel.llm.common import row_key, stored, whole_text
 
-LANES = 32
+LANES = 64
 POWER = 48
 #: A line, cut after sentence ends; a stretch without any is cut every 240 characters, counted from the last cut.
 PIECE = r"[^\n]{1,240}?(?:[.!?](?=\s)|(?=\n)|\z)|[^\n]{1,240}"

@@ -165,3 +165,13 @@ def test_multiset_hash_inserts_deletes_and_ignores_order(spark):
     assert less == sums[4] and more == sums[1]
     plan = multiset.multiset_hash(rows, ["k"], "t")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_fingerprints_of_unrelated_texts_are_told_apart(spark):
+    rows = spark.createDataFrame([(i, "\n".join(f"line {i} {j}." for j in range(8))) for i in range(1200)], "k long, t string")
+    sums = multiset.multiset_hash(rows, ["k"], "t").select("k", "sums")
+    after = sums.select((F.col("k") - 1).alias("k"), F.col("sums").alias("other")).where("k % 2 = 0")
+    found = sums.join(after, "k").select(multiset.likeness(F.col("sums"), F.col("other")).alias("near")).collect()
+    # Below 0 counts as 0, which leaves half of the variance 1 / 64.
+    assert len(found) == 600 and (sum(r.near**2 for r in found) / len(found)) ** 0.5 < 0.105
+    assert len(multiset.edited_fingerprints(docs_of(spark, ["a b"])).first().fingerprint) == 64 * 12
