@@ -121,12 +121,21 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))
 
 
+def one_text(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, quality, text) of every one of ids that texts has; of several texts the one whose hash is smallest.
+
+    So the rows are bounded by ids, however often a doc_id repeats. A task passes on one text an id.
+    """
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "quality")
+    return found.agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")).select("doc_id", "quality", "least.text")
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> QualityModel:
     """Learn from the labelled documents whose crc32(doc_id) mod 4 is not 2.
 
     Ids whose labels contradict each other are left out. Rows are taken in the order of a hash of the id, up to the bounds in
-    settings; dictionaries and calibration see different halves. Lines that several sampled documents share are boilerplate
-    and stay out of the dictionaries. Only the dictionary texts, cut to row_chars, come to the driver, and four
+    settings, with one text an id; dictionaries and calibration see different halves. Lines that several sampled documents
+    share are boilerplate and stay out of the dictionaries. Only the dictionary texts, cut to row_chars, come to the driver, and four
     numbers for each calibration row. Without labels, or without bad ones, every score is 1; without good ones it is 0.
     """
     settings = settings or Settings()
@@ -141,8 +150,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None =
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     chosen = ids[0].union(ids[1]).drop("h")
     rows = (
-        texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", F.substring("text", 1, settings.row_chars).alias("text"))
-        .orderBy("doc_id", "text").limit(4 * settings.dictionary_rows).collect()
+        one_text(texts, chosen).select("doc_id", "quality", F.substring("text", 1, settings.row_chars).alias("text"))
+        .orderBy("doc_id").collect()
     )
     lines = Counter(line for r in rows for line in set(r.text.split("\n")))
     common = {line for line, n in lines.items() if n > 1}
@@ -151,7 +160,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None =
         return QualityModel(constant=0.0 if by_class[0] else 1.0)
     model = QualityModel(dictionary(by_class[1], common, settings), dictionary(by_class[0], common, settings), level=settings.level)
     wanted = known.where(half == 1).orderBy("h").limit(settings.calibration_rows).drop("h")
-    measured = texts.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "quality")
+    measured = one_text(texts, wanted)
 
     def measure(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.open()
@@ -161,7 +170,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None =
 
     got = (
         measured.mapInArrow(measure, "quality int, a double, b double, c double, d double")
-        .orderBy("a", "b", "c", "d", "quality").limit(2 * settings.calibration_rows).collect()
+        .orderBy("a", "b", "c", "d", "quality").collect()
     )
     if len({r.quality for r in got}) == 2:
         found, labelled = np.array([r[1:] for r in got]), np.array([r.quality for r in got], float)
@@ -192,7 +201,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None
     """One row per row of docs: doc_id, held_out, score (0 to 1, higher for label 1), predicted (1 from 0.7 on).
 
     The score is the calibrated probability of label 1 given how much smaller the whole text gets with the dictionary of good text
-    than with that of bad text. Null ids are not held out. No shuffle of texts.
+    than with that of bad text. Null ids are not held out. No shuffle of texts but those fitted on.
     """
     rows = docs.select("doc_id", "text")
     return with_score(rows, fit_quality(docs, labels, settings)).select(

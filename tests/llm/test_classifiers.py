@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 from tables import MEDIUM_DIR, awkward, docs_of, documents, empty
 
@@ -44,6 +45,15 @@ def test_quality_of_awkward_rows(spark):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_quality_is_fitted_on_every_chosen_id_however_often_it_repeats(spark):
+    docs, labels = documents(spark, MEDIUM_DIR), labels_of(spark)
+    few = quality.Settings(dictionary_rows=10, calibration_rows=200)
+    once = quality.fit_quality(docs, labels, few)
+    often = quality.fit_quality(docs.crossJoin(spark.range(50).select()), labels, few)
+    assert once.constant is None and often.constant is None
+    assert (once.good, once.bad) == (often.good, often.bad) and np.array_equal(once.weights, often.weights)
+
+
 def test_language_of_held_out_documents(spark):
     docs = documents(spark, MEDIUM_DIR)
     rows = language.identify_language(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
