@@ -29,17 +29,16 @@ WORD = regex.compile(r"[^\p{White_Space}]+")
 
 
 class _Words(dict):
-    """Word -> its ids and decoded string; filled on demand, emptied when full."""
+    """Word -> its ids; filled on demand, emptied when full."""
 
     def __init__(self, owner: Bpe, most: int):
         super().__init__()
         self.owner, self.most = owner, most
 
-    def __missing__(self, word: str) -> tuple[bytes, bytes]:
+    def __missing__(self, word: str) -> bytes:
         stem = word.rstrip(STOPS)
         if stem and stem != word and stem[-1] < PLAIN and stem[-1].isalnum():
-            (ids, shown), (more, after) = self[stem], self[word[len(stem) :]]
-            return ids + more, shown + b" " + after
+            return self[stem] + self[word[len(stem) :]]
         out = self.owner.word(word)
         if len(word) <= LONG_WORD:
             if len(self) >= self.most:
@@ -60,6 +59,7 @@ class Bpe:
         self.end = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in made.get("added_tokens", [])}
         self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
+        self.shown = [self.strings.get(i) for i in range(max(self.strings) + 1)]
         cuts = [p["pattern"]["Regex"] for p in made["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.cut = regex.compile(cuts[0])
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -95,21 +95,21 @@ class Bpe:
                 heapq.heappush(queue, (ranks[pair], ahead, *pair))
         return [s for s in alive if s is not None]
 
-    def word(self, word: str) -> tuple[bytes, bytes]:
-        """Ids and decoded string of a normalised stretch without white space."""
+    def word(self, word: str) -> bytes:
+        """Ids of a normalised stretch without white space."""
         found: list[str] = []
         for piece in self.cut.findall(word):
             letters = [self.alphabet[b] for b in piece.encode("utf-8", "replace")]
             letters[-1] += self.end
             found += self.merge(letters)
-        return np.array([self.ids[s] for s in found], "<u4").tobytes(), " ".join(found).encode()
+        return np.array([self.ids[s] for s in found], "<u4").tobytes()
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
-        """Ids as little-endian 32-bit numbers, and the decoded text in UTF-8."""
-        got: list[tuple[bytes, bytes]] = []
+        """Ids as little-endian 32-bit numbers, and the text in UTF-8 that these ids decode to."""
+        got: list[bytes] = []
         for stretch in self.marks.split(text) if self.marks and "<" in text else [text]:
             if stretch in self.special:
-                got.append((self.special[stretch].to_bytes(4, "little"), stretch.encode()))
+                got.append(self.special[stretch].to_bytes(4, "little"))
                 continue
             if not unicodedata.is_normalized("NFC", stretch):
                 stretch = unicodedata.normalize("NFC", stretch)
@@ -117,11 +117,12 @@ class Bpe:
             stretch = stretch.replace("Σ", "σ").lower()
             words = stretch.split() if SEPARATORS.search(stretch) is None else WORD.findall(stretch)
             got += map(self.words.__getitem__, words)
-        return b"".join([ids for ids, _ in got]), b" ".join([shown for _, shown in got])
+        ids = b"".join(got)
+        return ids, self.decode(np.frombuffer(ids, "<u4").tolist()).encode()
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary's strings, a space between them, as a tokenizer without a decoder gives."""
-        return " ".join(self.strings[i] for i in ids)
+        return " ".join(map(self.shown.__getitem__, ids))
 
 
 _made: dict[str, Bpe] = {}

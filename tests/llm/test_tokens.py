@@ -47,6 +47,15 @@ def test_bpe_gives_the_library_s_ids_and_text():
         assert shown.decode() == other.decode(want, skip_special_tokens=False) == own.decode(want)
 
 
+def test_bpe_text_is_decoded_from_the_ids():
+    own = Bpe(WORDS)
+    one, other = own.encode("one")[0], own.encode("other")[0]
+    own.words["one"] = other
+    ids, shown = own.encode("one one.")
+    assert one != other and ids.startswith(other + other)
+    assert shown.decode() == own.decode(np.frombuffer(ids, "<u4").tolist())
+
+
 @pytest.mark.parametrize("top", [1, 255, 256, 65535, 65536, 2**24, 2**32 - 1])
 def test_packed_values_come_back(top):
     values = np.random.default_rng(3).integers(0, top, 1001, endpoint=True).astype(np.uint32)
