@@ -33,9 +33,20 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
     This cuts lineage: when an executor is lost, nothing before the table is computed again.
     """
+    return stored_at(df, name, codec)[0]
+
+
+def stored_at(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
+    """`stored`, and the path of the table, for `discard` once nothing reads it any more."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that `stored_at` wrote; it may lie in any file system that Spark knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:

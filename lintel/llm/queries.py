@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lintel.llm import bpe, exact, idfile, language, multiset, packing, pii, quality, simhash, warc
+from lintel.llm import bpe, centroids, codes, exact, idfile, language, multiset, packing, pii, quality, secretscan, simhash, warc
 from lintel.llm.vocabulary import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), default_path("word_bpe_49k.json"), with_ids=False)
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_active_entry_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.codes_with_digests(embeddings(spark, sf_dir))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secret_spans(documents(spark, sf_dir))
+
+
+def op13_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters_with_digests(embeddings(spark, sf_dir))
+
+
 def entries() -> dict[str, tuple[Query, str | None]]:
     return {
         "op1_token_id_file": (op1_token_id_file, None),
@@ -68,4 +84,7 @@ def entries() -> dict[str, tuple[Query, str | None]]:
         "op8_exact_duplicates": (op8_exact_duplicates, exact.EXACT_SQL),
         "op9_personal_data": (op9_personal_data, None),
         "op10_bpe": (op10_bpe, None),
+        "op11_active_entry_codes": (op11_active_entry_codes, codes.codes_sql()),
+        "op12_secret_scan": (op12_secret_scan, None),
+        "op13_va_file_clusters": (op13_va_file_clusters, centroids.clusters_sql()),
     }
