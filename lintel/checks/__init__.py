@@ -16,11 +16,11 @@ def _tuned(query: Query) -> Query:
 
 
 def registry() -> tuple[dict[str, Query], dict[str, str]]:
-    from lintel.checks import audits, cleaning, derived_columns, evaluation, learning, profiles, tables
+    from lintel.checks import audits, cleaning, derived_columns, evaluation, labels, learning, profiles, tables
 
     queries: dict[str, Query] = {}
     oracles: dict[str, str] = {}
-    for module in (tables, derived_columns, profiles, cleaning, evaluation, audits, learning):
+    for module in (tables, derived_columns, profiles, cleaning, evaluation, audits, learning, labels):
         for name, (query, sql) in module.entries().items():
             if name in queries:
                 raise ValueError(f"query {name} is registered twice")

@@ -14,18 +14,26 @@ from lintel.operators.state import State, lookup
 from lintel.session import cut
 
 HEX = "0123456789abcdef"
+#: Stands for all keys that share a hash.
+EVERY = object()
 BUCKET_ROWS = 100_000
 SPLIT_ROWS = 100_000
 
 
 def md5_of(seed: int, key: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    """Hash of seed and key; a null key counts as an empty one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+
+
+def with_row_number(df: DataFrame, name: str = "__row") -> DataFrame:
+    """df written out once with a number for each row, so that a table can be joined with itself whatever its keys are."""
+    return cut(df.withColumn(name, F.monotonically_increasing_id()))
 
 
 def exact_rank(
-    df: DataFrame, by: list[str], order: Column, key: str, name: str = "rank", digits: int | None = None
+    df: DataFrame, by: list[str], order: Column, key: str, name: str = "rank", digits: int | None = None, tie: str | None = None
 ) -> DataFrame:
-    """1-based rank of each row within `by`, in ascending (order, key); `order` is a hex text.
+    """1-based rank of each row within `by`, in ascending (order, key, tie); `order` is a hex text.
 
     Rows are bucketed by the first hex digits of `order`. Bucket sizes, summed up, give each
     bucket its first rank; rows are ranked within their bucket. The digits grow with the table,
@@ -39,7 +47,7 @@ def exact_rank(
     starts = _starts(sizes, by, digits)
     # a broadcast join while the buckets are few; then the window is the only shuffle of the rows
     ranked = lookup(bucketed, State.of(starts), {**{b: b for b in by}, "__b": "__b"})
-    within = F.row_number().over(W.partitionBy(*by, "__b").orderBy("__h", key))
+    within = F.row_number().over(W.partitionBy(*by, "__b").orderBy("__h", key, *([tie] if tie else [])))
     return ranked.withColumn(name, F.col("__start") + within).drop("__h", "__b", "__start")
 
 
@@ -73,7 +81,8 @@ def split_thresholds(
     """Per class the last (md5, key) that belongs to the first floor(n * share) rows.
 
     Narrowed by hash prefix: each pass counts one more block of digits among the rows that share
-    the boundary prefix, until few rows are left to sort. Only counts reach the driver.
+    the boundary prefix, until few rows are left to sort. Only counts reach the driver. Where many rows share the boundary's
+    whole hash, and so their key, the key is EVERY: all of them belong.
     """
     hashed = df.select(label, F.col(key).alias("k"), md5_of(seed, key).alias("h"))
     sizes = {r[label]: r["n"] for r in hashed.groupBy(label).agg(F.count("*").alias("n")).collect()}
@@ -96,7 +105,13 @@ def split_thresholds(
             if not prefix:
                 break
             near = _within(hashed, label, prefix)
-        depth = len(next(iter(prefix.values()))) + 3
+        whole = {y: p for y, p in prefix.items() if len(p) == 32}  # one key that holds more than `most` rows
+        found.update({y: (p, EVERY) for y, p in whole.items()})
+        prefix = {y: p for y, p in prefix.items() if y not in whole}
+        if not prefix:
+            break
+        near = _within(hashed, label, prefix)
+        depth = min(32, max(map(len, prefix.values())) + 3)
         counts = near.groupBy(label, F.substring("h", 1, depth).alias("p")).agg(F.count("*").alias("n"))
         per_class: dict[object, list[tuple[str, int]]] = {}
         for r in counts.collect():  # at most 16**3 rows a class
@@ -133,13 +148,15 @@ def stratified_split(
 ) -> DataFrame:
     """Mark floor(n * test_size) rows of each class, first in md5 order, as validation rows.
 
-    The mark is a comparison with one threshold per class: the table itself is not shuffled.
+    The mark is a comparison with one threshold per class: the table itself is not shuffled. Rows of one class that share a
+    key, a null one included, stay together, so a part can be larger by the rows that share the boundary's key. No mark is null.
     """
     mark = F.lit(False)
     for y, last in split_thresholds(df, label, key, test_size, seed).items():
         if last is not None:
             h, k = last
-            first = (F.col("__h") < h) | ((F.col("__h") == h) & (F.col(key) <= F.lit(k)))
+            upto = F.lit(True) if k is EVERY else F.col(key).isNull() if k is None else F.coalesce(F.col(key) <= F.lit(k), F.lit(True))
+            first = (F.col("__h") < h) | ((F.col("__h") == h) & upto)
             mark = F.when(_same(label, y), first).otherwise(mark)
     return df.withColumn("__h", md5_of(seed, key)).withColumn(name, mark.cast("int")).drop("__h")
 
@@ -175,9 +192,10 @@ def dense_position(df: DataFrame, key: str, name: str = "Id") -> DataFrame:
     return numbered.withColumn(name, place).drop("__m", "__q", "__start")
 
 
-def seats(df: DataFrame, key: str, digits: int | None = None) -> DataFrame:
-    """Place of each key in an order that has nothing to do with its values."""
-    return exact_rank(df.select(key), [], F.md5(F.col(key).cast("string").cast("binary")), key, "__i", digits)
+def seats(df: DataFrame, key: str, digits: int | None = None, row: str = "__row") -> DataFrame:
+    """Place of each row (row number and __i) in an order that has nothing to do with the values of its key."""
+    order = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    return exact_rank(df.select(row, key), [], order, key, "__i", digits, row).select(row, "__i")
 
 
 def permuted_rows(
@@ -185,10 +203,14 @@ def permuted_rows(
 ) -> DataFrame:
     """df with columns dealt out anew beside the own ones, as __p_<column>: the row at place i by `seats` gets the row at place i by md5.
 
-    One rank and two joins serve all columns. `places` and `digits` save work when one table is permuted many times.
+    One rank and two joins serve all columns. Rows are told apart by a row number, which `with_row_number` writes unless df has one (column
+    __row, which then stays): null and repeated keys neither lose nor multiply rows, and their rows are in the order of that number. `places` and
+    `digits` save work when one table is permuted many times.
     """
-    places = seats(df, key, digits) if places is None else places
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    dealt = df.select(key, *[F.col(c).alias(f"__p_{c}") for c in columns])
-    values = exact_rank(dealt, [], draw, key, "__i", digits).drop(key)
-    return df.join(places.join(values, "__i").drop("__i"), key)
+    numbered = "__row" in df.columns
+    rows = df if numbered else with_row_number(df)
+    places = seats(rows, key, digits) if places is None else places
+    dealt = rows.select(key, "__row", *[F.col(c).alias(f"__p_{c}") for c in columns])
+    values = exact_rank(dealt, [], md5_of(seed, key), key, "__i", digits, "__row").drop(key, "__row")
+    done = rows.join(places.join(values, "__i").drop("__i"), "__row")
+    return done if numbered else done.drop("__row")

@@ -18,7 +18,7 @@ from lintel.functions.nullsafe import blank_or_null_flag, log1p_clip, to_categor
 from lintel.operators.clean import columns_with_nulls
 from lintel.operators.encode import MAX_ONE_HOT, OneHot, class_counts, fit_one_hot, label_classes, smoothed
 from lintel.operators.groups import relative_to_group
-from lintel.operators.neighbours import knn_impute
+from lintel.operators.neighbours import knn_fill
 from lintel.operators.profile import melt
 from lintel.operators.quantiles import column_quantiles
 from lintel.operators.schema import infer_column_types
@@ -68,7 +68,7 @@ class Features(Fitted):
         if p["impute"] == "knn":
             if donors is None:
                 raise ValueError("nearest-neighbour imputation needs the fitted rows as donors")
-            df = _with_neighbours(df, donors, key, numeric, p["neighbours"])
+            df = knn_fill(df, donors, key, numeric, p["neighbours"])
 
         # derived columns get a prefix, so that they cannot clash with raw ones
         joined = df
@@ -156,13 +156,6 @@ def _filled(df: DataFrame, c: str) -> Column:
     return F.col(name if name in df.columns else c).cast("double")
 
 
-def _with_neighbours(df: DataFrame, donors: DataFrame, key: str, numeric: list[str], k: int) -> DataFrame:
-    """Imputed numbers beside the raw ones, as __knn_<col>."""
-    names = {c: f"__knn_{c}" for c in numeric}
-    filled = knn_impute(df.select(key, *numeric), donors.select(key, *numeric), key, numeric, k)
-    return df.join(filled.select(key, *[F.col(c).alias(n) for c, n in names.items()]), key)
-
-
 def _group_columns(groups: list[str], values: list[str]) -> dict[str, Column]:
     out: dict[str, Column] = {}
     for g in groups:
@@ -238,7 +231,7 @@ def _numeric_fit(
     if not numeric:
         return {}, [], {}
     if config.impute == "knn":
-        filled = _with_neighbours(df, df, config.key, numeric, config.neighbours)
+        filled = knn_fill(df, df, config.key, numeric, config.neighbours)
         medians, flags = {}, numeric
         columns = [F.col(f"__knn_{c}").alias(c) for c in numeric]
     else:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import importlib
-import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -30,11 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from lintel.operators.neighbours import argmax
+from lintel.plans.labels import LabelMap
+from lintel.plans.persist import Kept, load_stage, save_stage
 
 Builder = Callable[[dict], Estimator]
 #: Classes whose learners are fitted at a time.
 PARALLEL = 3
+#: Size of the rows that a nearest-neighbour model sends to every executor.
+DONOR_BYTES = 256 << 20
 
 
 def assemble(df: DataFrame, names: list[str], out: str = "features") -> DataFrame:
@@ -66,14 +67,15 @@ def linear_svm(params: dict | None = None, label: str = "label", weight: str | N
     return _weighted(ClassScores(kind="svm", labelCol=label).with_params(p), weight)
 
 
-class Mlp:
+class Mlp(Estimator):
     """Feed-forward net with hidden layers as given; input width and classes are read from the rows."""
 
-    def __init__(self, params: dict | None = None, label: str = "label"):
-        self.params, self.label = {"maxIter": 100, "seed": 42, "hidden": [16], **(params or {})}, label
+    def __init__(self, settings: dict | None = None, label: str = "label"):
+        super().__init__()
+        self.settings, self.label = {"maxIter": 100, "seed": 42, "hidden": [16], **(settings or {})}, label
 
-    def fit(self, df: DataFrame):
-        p = dict(self.params)
+    def _fit(self, df: DataFrame):
+        p = dict(self.settings)
         hidden = p.pop("hidden")
         if "layers" not in p:
             width = df.select(F.coalesce(F.max(F.size(vector_to_array("features"))), F.lit(0))).first()[0]
@@ -151,16 +153,15 @@ class ClassScores(Estimator, _ScoreParams, DefaultParamsWritable, DefaultParamsR
 
     def _fit(self, dataset: DataFrame) -> ClassScoresModel:
         label, features = self.getLabelCol(), self.getFeaturesCol()
-        found = [r[0] for r in dataset.select(label).distinct().collect()]  # one model is fitted for each
-        if None in found:
+        if dataset.where(F.col(label).isNull()).limit(1).count():
             raise ValueError(f"{label} has null labels: leave such rows out before fitting")
-        classes = sorted(int(y) for y in found)
+        known = LabelMap.fit(dataset, label)  # one model is fitted for each class
         kind = self.getOrDefault("kind")
         weight = self.getWeightCol() if self.isDefined("weightCol") else None
         held = dataset.persist()
 
-        def fit(y: int):
-            hit = F.col(label) == y
+        def fit(y):
+            hit = F.col(label).cast("string" if known.text else "double") == F.lit(y)
             target = F.when(hit, 1.0).otherwise(-1.0) if kind == "ridge" else hit.cast("double")
             learner = {"boost": GBTClassifier, "svm": LinearSVC, "ridge": LinearRegression}[kind]
             estimator = learner(featuresCol=features, labelCol="__y", **self.base_params)
@@ -168,19 +169,35 @@ class ClassScores(Estimator, _ScoreParams, DefaultParamsWritable, DefaultParamsR
 
         try:
             with ThreadPool(PARALLEL) as pool:
-                models = pool.map(fit, classes)
+                models = pool.map(fit, known.classes)
         finally:
             held.unpersist()
-        return self._copyValues(ClassScoresModel(classes, models))
+        return self._copyValues(ClassScoresModel(known.classes, models))
+
 
+class ClassScoresModel(Kept, Model, _ScoreParams):
+    """Scores by class; probability has one place a class, in the order of `classes`."""
 
-class ClassScoresModel(Model, _ScoreParams):
-    def __init__(self, classes: list[int], models: list):
+    def __init__(self, classes: Sequence, models: list):
         super().__init__()
         self._setDefault(kind="boost")
-        self.classes = classes
+        self.known = LabelMap.of(list(classes))
         self.models = models
 
+    @property
+    def classes(self) -> list:
+        return list(self.known.classes)
+
+    def told(self) -> dict:
+        return {"classes": self.classes}
+
+    def parts(self) -> dict[str, object]:
+        return {f"part-{i}": m for i, m in enumerate(self.models)}
+
+    @classmethod
+    def made(cls, told, part):
+        return cls(told["classes"], [part(f"part-{i}") for i in range(len(told["classes"]))])
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         kind = self.getOrDefault("kind")
         boost = kind == "boost"
@@ -201,11 +218,11 @@ class ClassScoresModel(Model, _ScoreParams):
         picked = [f"__c{i}" for i in range(len(names))]
         return out.withColumns({
             self.getProbabilityCol(): array_to_vector(F.array(*picked)),
-            self.getPredictionCol(): argmax(picked, self.classes).cast("double"),
+            self.getPredictionCol(): self.known.pick(picked),
         }).drop(*names, *picked)
 
 
-class KnnClassifier:
+class KnnClassifier(Estimator):
     """k nearest neighbours by Euclidean distance over a bounded number of labelled rows.
 
     `most` bounds the rows kept, taken in the order of a hash of their features and label: scoring is then linear in the rows
@@ -213,28 +230,53 @@ class KnnClassifier:
     """
 
     def __init__(self, k: int = 5, weights: str = "uniform", most: int = 20_000, label: str = "label"):
+        super().__init__()
         self.k, self.weights, self.most, self.label = k, weights, most, label
 
-    def fit(self, df: DataFrame) -> KnnModel:
+    def _fit(self, df: DataFrame) -> KnnModel:
+        known = LabelMap.fit(df, self.label)
         rows = df.where(F.col(self.label).isNotNull()).select(
-            vector_to_array("features").alias("x"), F.col(self.label).cast("int").alias("y")
+            vector_to_array("features").alias("x"), known.slot(self.label).cast("int").alias("y")
         )
         kept = rows.orderBy(F.xxhash64("x", "y"), "y").limit(self.most).toPandas()
-        return KnnModel(np.array(kept["x"].tolist(), float), kept["y"].to_numpy(int), self.k, self.weights)
+        return KnnModel(np.array(kept["x"].tolist(), float), kept["y"].to_numpy(int), self.k, self.weights, known)
 
 
-class KnnModel:
-    def __init__(self, x: np.ndarray, y: np.ndarray, k: int, weights: str):
-        self.x, self.y, self.k, self.weights = x, y, k, weights
-        self.classes = sorted(set(y.tolist()))
+class KnnModel(Kept, Model):
+    """Labelled rows: features x and slots y. probability has one place a class, in the order of `classes`."""
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        x, k, by_distance = self.x, min(self.k, len(self.x)), self.weights == "distance"
-        hits = (self.y[:, None] == np.array(range(max(self.classes) + 1))[None, :]).astype(float)
-        squares = (x * x).sum(1)
+    def __init__(self, x: np.ndarray, y: np.ndarray, k: int, weights: str, known: LabelMap):
+        super().__init__()
+        if x.nbytes > DONOR_BYTES:
+            raise ValueError(f"{x.nbytes >> 20} MB of labelled rows are too much to send to every task: lower `most`")
+        self.x, self.y, self.k, self.weights, self.known = x, y, k, weights, known
+
+    @property
+    def classes(self) -> list:
+        return list(self.known.classes)
+
+    def told(self) -> dict:
+        return {"k": self.k, "weights": self.weights, "classes": self.classes}
+
+    def parts(self) -> dict[str, object]:
+        rows = pd.DataFrame({"x": self.x.tolist(), "y": self.y.tolist()})
+        return {"rows": SparkSession.active().createDataFrame(rows, "x array<double>, y int")}
+
+    @classmethod
+    def made(cls, told, part):
+        rows = part("rows").toPandas()
+        return cls(np.array(rows["x"].tolist(), float), rows["y"].to_numpy(int), told["k"], told["weights"], LabelMap.of(told["classes"]))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        k, by_distance, n = min(self.k, len(self.x)), self.weights == "distance", len(self.known)
+        # sent once to each executor, not with every task; at most DONOR_BYTES
+        sent = df.sparkSession.sparkContext.broadcast((self.x, self.y))
 
         @pandas_udf("array<double>")
         def shares(features: pd.Series) -> pd.Series:
+            x, y = sent.value
+            hits = (y[:, None] == np.arange(n)[None, :]).astype(float)
+            squares = (x * x).sum(1)
             out = []
             for at in range(0, len(features), 512):
                 q = np.array(features.iloc[at : at + 512].tolist(), float)
@@ -247,50 +289,19 @@ class KnnModel:
                 out += (votes / votes.sum(1, keepdims=True)).tolist()
             return pd.Series(out)
 
-        names = [F.get("__shares", F.lit(c)) for c in self.classes]
+        places = [f"__share{i}" for i in range(n)]
         out = df.withColumn("__shares", shares(vector_to_array("features")))
-        best = F.greatest(*names) if len(names) > 1 else names[0]
-        label = F.lit(float(self.classes[-1]))
-        for c, name in list(zip(self.classes, names, strict=True))[-2::-1]:
-            label = F.when(name == best, F.lit(float(c))).otherwise(label)
-        return out.withColumns({"probability": array_to_vector("__shares"), "prediction": label}).drop("__shares")
+        out = out.withColumns({c: F.get("__shares", F.lit(i)) for i, c in enumerate(places)})
+        return out.withColumns({"probability": array_to_vector("__shares"), "prediction": self.known.pick(places)}).drop("__shares", *places)
 
 
 def save_model(spark: SparkSession, model, path: str) -> None:
-    """Any learner's model under one folder, with a manifest that tells load_model what it is."""
-    if isinstance(model, ClassScoresModel):
-        told = {"type": "scores", "kind": model.getOrDefault("kind"), "classes": model.classes,
-                "columns": {c: model.getOrDefault(c) for c in ("labelCol", "featuresCol", "predictionCol", "probabilityCol")}}
-        parts = {f"part-{i}": m for i, m in enumerate(model.models)}
-    elif isinstance(model, KnnModel):
-        told, parts = {"type": "knn", "k": model.k, "weights": model.weights}, {}
-        rows = pd.DataFrame({"x": model.x.tolist(), "y": model.y.tolist()})
-        spark.createDataFrame(rows, "x array<double>, y int").write.mode("overwrite").parquet(f"{path}/rows")
-    elif hasattr(model, "parts"):
-        told, parts = model.parts()
-    else:
-        told, parts = {"type": "mllib", "module": type(model).__module__, "name": type(model).__name__}, {}
-        model.write().overwrite().save(f"{path}/model")
-    for name, part in parts.items():
-        save_model(spark, part, f"{path}/{name}")
-    spark.createDataFrame([(json.dumps(told),)], "manifest string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+    """Any learner's model under one folder; its own metadata tell load_model what it is."""
+    save_stage(model, path)
 
 
 def load_model(spark: SparkSession, path: str):
-    told = json.loads(spark.read.text(f"{path}/manifest").first().value)
-    if told["type"] == "mllib":
-        if not told["module"].startswith("pyspark.ml."):
-            raise ValueError(f"{told['module']} is no module of learners")
-        return getattr(importlib.import_module(told["module"]), told["name"]).load(f"{path}/model")
-    if told["type"] == "knn":
-        rows = spark.read.parquet(f"{path}/rows").toPandas()
-        return KnnModel(np.array(rows["x"].tolist(), float), rows["y"].to_numpy(int), told["k"], told["weights"])
-    if told["type"] == "scores":
-        model = ClassScoresModel(told["classes"], [load_model(spark, f"{path}/part-{i}") for i in range(len(told["classes"]))])
-        return model._set(kind=told["kind"], **told["columns"])
-    from lintel.plans import ensemble
-
-    return ensemble.load_parts(told, lambda name: load_model(spark, f"{path}/{name}"))
+    return load_stage(spark, path)
 
 
 def shares_of(names: list[str]) -> list[Column]:

@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from lintel.operators import encode, neighbours, ranking
+from lintel.operators import audit, encode, neighbours, ranking
 from lintel.operators import state as S
 from lintel.operators.quantiles import column_quantiles, group_quantiles
 from lintel.sources.listing import KEY, LABEL, NUMERIC, listing, numeric_rows
@@ -104,14 +104,101 @@ def test_knn_impute_against_brute_force(spark, block):
     assert [[r[f"{c}_missing"] for c in names] for r in got] == np.isnan(rows).astype(int).tolist()
 
 
-def test_few_cells_are_searched(spark):
-    """Far clusters are ruled out by their boxes."""
+def visits(spark, n: int, **kw) -> tuple[float, int, int]:
+    """Cells that rows look into, on average and at most, and how many there are: six coordinates, two of them with gaps, values in clusters."""
+    made = spark.range(n).select(
+        F.col("id").alias("k"), *[(F.floor(F.rand(i) * 5) * (40 - 5 * i) + F.randn(10 + i)).alias(c) for i, c in enumerate("abcdef")]
+    )
+    gaps = {c: F.when(F.rand(30 + i) > 0.2, F.col(c)) for i, c in enumerate("ef")}
+    df = made.withColumns(gaps)
+    asks = df.where("f IS NULL").limit(1000)
+    seen, cells = neighbours.cells_visited(asks, df, "k", list("abcdef"), {"f": F.col("f")}, 5, block=100, **kw)
+    got = seen.agg(F.avg("n").alias("mean"), F.max("n").alias("most")).first()
+    return got["mean"], got["most"], cells
+
+
+def test_few_cells_are_searched_however_large_the_table(spark):
+    """Cells grow with the table; the number that a row looks into does not."""
+    small, large = visits(spark, 20_000), visits(spark, 200_000)
+    assert small[2] >= 150 and large[2] >= 1_500
+    assert large[0] < 50 and large[0] < 3 * small[0]  # ten times the cells
+
+
+def test_vectors_of_other_clusters_are_ruled_out(spark):
+    """In many dimensions boxes stand on principal axes."""
     rng = np.random.default_rng(3)
-    rows = [(i, float(rng.normal(1000 * (i % 10), 1.0)), float(rng.normal(0, 1.0)), i % 2) for i in range(2000)]
-    df = spark.createDataFrame(rows, "k int, x double, y double, label int")
-    asks = df.select(F.col("k").alias("qk"), F.col("x").alias("x0"), F.col("y").alias("x1"), F.array(F.lit(True)).alias("want"))
-    donors = df.select(F.col("k").alias("dk"), F.col("x").alias("x0"), F.col("y").alias("x1"), F.col("label").cast("double").alias("t0"))
-    placed, boxes = neighbours._cells(donors, ["x0", "x1"], 1, 100)
-    sent, _ = neighbours._route(asks, placed, boxes, ["x0", "x1"], 1, 5, 100)
-    assert len(boxes) >= 50
-    assert sent.count() < 2000 * len(boxes) / 4
+    centres = rng.normal(0, 1.0, (20, 32))
+    rows = [(i, *(centres[i % 20] * 10 + rng.normal(0, 0.5, 32)).tolist()) for i in range(4000)]
+    x = [f"e{i}" for i in range(32)]
+    df = spark.createDataFrame(rows, "k int, " + ", ".join(f"{c} double" for c in x))
+    seen, cells = neighbours.cells_visited(df, df, "k", x, {"k": F.col("k")}, 5, exclude_self=True, block=50)
+    assert cells >= 60 and seen.agg(F.avg("n")).first()[0] < cells / 8
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_nearest_vectors_by_brute_force(spark, block):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (300, 14)) + 5 * rng.integers(0, 3, (300, 1))
+    x[200:220] = x[0]  # copies tie: the smaller key comes first
+    names = [f"e{i}" for i in range(14)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(x.tolist())], "k int, " + ", ".join(f"{c} double" for c in names))
+    got = neighbours.nearest(df, df, "k", names, {"k": F.col("k")}, 4, exclude_self=True, block=block).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.k, []).append((r.distance, r.donor))
+    for i in range(300):
+        far = [(float(np.sqrt(((x[i] - x[j]) ** 2).sum())), j) for j in range(300) if j != i]
+        want = sorted(far)[:4]
+        assert [j for _, j in sorted(found[i])] == [j for _, j in want]
+        assert np.allclose([d for d, _ in sorted(found[i])], [d for d, _ in want])
+
+
+def test_null_and_repeated_keys_keep_one_row_each(spark):
+    rows = [(None if i < 5 else i % 50, float(i % 7) if i % 3 else None, float(i % 11)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, a double, b double")
+    got = neighbours.knn_impute(df, df, "k", ["a", "b"], 3, block=20)
+    assert got.count() == 100 and got.where("a IS NULL").count() == 0
+    assert sorted(r.b for r in got.collect()) == sorted(r[2] for r in rows)
+    voted = neighbours.knn_classify(df.select("k", "b"), df.where("k IS NOT NULL").withColumn("y", F.col("k") % 2), "k", ["b"], "y", [0, 1], 3)
+    assert voted.count() == 100
+
+
+def test_feature_table_by_neighbours_keeps_every_row(spark):
+    from lintel.plans.features import FeatureConfig, fit_features
+
+    rows = [(None if i < 5 else i % 50, i % 2, float(i % 7) if i % 3 else None, float(i % 11), "xyz"[i % 3]) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, y int, a double, b double, c string")
+    fitted = fit_features(df, FeatureConfig("k", "y", impute="knn", classes=[0, 1]))
+    got = fitted.apply(df, df)
+    assert got.count() == 100 and got.where("k IS NULL").count() == 5
+    assert got.groupBy("a_missing").count().where("a_missing = 1").first()["count"] == sum(r[2] is None for r in rows)
+
+
+def test_splits_and_permutations_under_null_and_repeated_keys(spark):
+    rows = [(None if i < 5 else i % 50, i % 2, float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, y int, a double")
+    split = ranking.stratified_split(df, "y", "k", 0.2)
+    assert split.count() == 100 and split.where("is_valid IS NULL").count() == 0
+    assert 20 <= split.where("is_valid = 1").count() <= 30
+    parted = split.where("k IS NOT NULL").groupBy("y", "k").agg(F.count_distinct("is_valid").alias("n"))
+    assert parted.where("n > 1").count() == 0  # rows of one key stay together
+    dealt = ranking.permuted_rows(df, ["a"], "k", 7)
+    assert dealt.count() == 100 and dealt.columns == ["k", "y", "a", "__p_a"]
+    assert sorted(r["__p_a"] for r in dealt.collect()) == sorted(r[2] for r in rows) == sorted(r["a"] for r in dealt.collect())
+
+
+def test_a_key_that_holds_most_rows_does_not_stop_the_split(spark):
+    df = spark.range(300).select(F.when(F.col("id") < 200, F.lit(7)).otherwise(F.col("id")).alias("k"), F.lit(1).alias("y"))
+    got = ranking.split_thresholds(df, "y", "k", 0.5, 42, most=10)[1]
+    assert got is not None
+    marked = ranking.stratified_split(df, "y", "k", 0.5)
+    assert marked.where("is_valid IS NULL").count() == 0 and marked.where("is_valid = 1").count() >= 150
+
+
+def test_permutation_importance_of_many_columns_in_one_plan(spark):
+    df = spark.range(2000).select(
+        F.col("id").alias("k"), (F.col("id") % 2).alias("y"), (F.col("id") % 2).alias("a"), F.rand(1).alias("b"), F.rand(2).alias("c")
+    )
+    score = lambda t: t.withColumn("prediction", F.col("a"))
+    got = {r.feature: r for r in audit.permutation_importance(df, ["a", "b", "c"], "y", "k", score, 3).collect()}
+    assert got["a"].importance_mean == pytest.approx(0.5, abs=0.05) and got["b"].importance_mean == got["c"].importance_std == 0
