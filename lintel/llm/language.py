@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lintel.llm.common import whole_text
@@ -21,11 +22,13 @@ LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of what is fitted on: rows and landmarks a language, characters of a sampled row, letters told apart; longest
-    n-gram and ridge penalty. Predictions are for whole texts.
+    """Bounds of what is fitted on: rows and landmarks a language, languages, rows of all languages, characters of a sampled row, letters told
+    apart; longest n-gram and ridge penalty. Predictions are for whole texts.
     """
 
     rows: int = 300
+    languages: int = 256
+    all_rows: int = 30_000
     landmarks: int = 32
     row_chars: int = 8192
     letters: int = 94
@@ -94,28 +97,28 @@ def kernel_rows(model: LanguageModel, grams: Grams, texts: list[str]) -> np.ndar
 def fit_language(docs: DataFrame, settings: Settings | None = None) -> LanguageModel:
     """Learn from text and non-null lang of the documents whose crc32(doc_id) mod 5 is not 0.
 
-    Of every language up to `rows` documents are taken in the order of a hash of id and text (repeated texts
-    once), the first `landmarks` of them as landmarks; these rows, cut to row_chars, come to the driver. How many languages
-    there are is counted first, as the model has a column for each.
+    Of every language up to `rows` different texts with a letter are taken, in the order of a hash of the text, the first `landmarks` of
+    them as landmarks. Languages, and which texts of them, are found from hashes alone, on which repeated texts are one, so
+    neither copies nor common languages push others out; then one text for each hash, cut to row_chars, comes to the driver. A model has a
+    column for each language, so `languages` bounds them: those with most different texts are learnt.
     """
     settings = settings or Settings()
-    rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), 5, 0)).select(
-        "lang", whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("h")
-    )
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), 5, 0)).select("lang", whole_text().alias("text"))
+    hashed = rows.where(F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("text").alias("h"))
+    different = hashed.distinct()
+    counts = {r.lang: r["count"] for r in different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()}
     sampled: list[tuple[str, str]] = []
     if counts:
-        # A share of each language that holds enough rows almost surely; the hash then says which of them are taken.
-        rate = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * (settings.rows + 10) / n))])
-        thin = rows.where(F.pmod("h", F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20)).select(
-            "lang", "h", F.substring("text", 1, settings.row_chars).alias("text")
-        )
-        some = thin.orderBy("h", "lang").limit(8 * (settings.rows + 10) * len(counts)).collect()
-        taken: Counter = Counter()
-        for r in dict.fromkeys((r.lang, r.text) for r in some):
-            if taken[r[0]] < settings.rows and LETTER.search(r[1]):
-                taken[r[0]] += 1
-                sampled.append(r)
+        most = min(settings.rows, settings.all_rows // len(counts))
+        # A share of each language that holds enough texts almost surely; the hash then says which of them are taken.
+        told = [(k, min(1.0, 4 * (most + 10) / n)) for k, n in counts.items()]
+        rate = F.broadcast(docs.sparkSession.createDataFrame(told, "lang string, rate double"))  # at most `languages` rows
+        thin = different.join(rate, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("rate") * (1 << 20))
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))  # a few times `rows` a language
+        chosen = thin.withColumn("place", place).where(F.col("place") <= most).select("lang", "h", "place")
+        texts = rows.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, settings.row_chars).alias("text"))
+        found = texts.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "place").agg(F.min("text").alias("text"))  # at most all_rows rows
+        sampled = [(r.lang, r.text) for r in found.orderBy("place", "lang").collect()]
     if not sampled:
         return LanguageModel()
     classes = sorted({lang for lang, _ in sampled})
