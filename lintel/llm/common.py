@@ -49,9 +49,20 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, with underscores added until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose key is in kept (one column, key), each repeated row once."""
-    key = "__row_key"
+    """The rows of docs whose key is in kept (one column, key), one row for each key.
+
+    Rows that agree in id and text have one key: of them one stays, and where they differ in other columns it is not defined which one.
+    """
+    key = fresh("__row_key", docs.columns)
     rows = docs.withColumn(key, row_key())
     left = rows.join(kept.select(F.col("key").alias(key)), key, "left_semi")
     return left.dropDuplicates([key]).select(docs.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lintel.llm.common import whole_text
+from lintel.llm.common import fresh, whole_text
 
 THRESHOLD = 0.7
 
@@ -55,22 +55,30 @@ class QualityModel:
 FRAME = 9
 
 
+#: Numbers that `measures` gives.
+MEASURES = 6
+
+
 def measures(tools: list[zstandard.ZstdCompressor], text: str) -> tuple[float, ...]:
-    """The size difference, bad less good, over their sum and over the length; the plain ratio; the log of the length."""
+    """Differences of compressed sizes, normalised: bad less good over their sum and over the length; what each dictionary saves against none, over the
+    size without one and over the length.
+    """
     raw = text.encode("utf-8", "replace")
     n = max(len(raw), 1)
     good, bad, plain = (max(0, len(t.compress(raw)) - FRAME) for t in tools)
-    return (bad - good) / (good + bad + 8), (bad - good) / n, plain / n, float(np.log(n))
+    return (bad - good) / (good + bad + 8), (bad - good) / n, (plain - good) / (plain + 8), (plain - bad) / (plain + 8), (plain - good) / n, (plain - bad) / n
 
 
 def design(found: np.ndarray) -> np.ndarray:
-    """Terms of the calibration: the difference, and how it reads at a given ratio and length.
+    """Terms of the calibration: the differences, their products, and the logarithms of what the dictionaries save.
 
-    A difference says little where a text repeats itself so much that neither dictionary matters, or where it is short.
+    Each is made of differences of sizes alone. The savings of both dictionaries tell how sure the difference between them is: it says little where
+    a text repeats itself so much, or is so odd, that neither dictionary matters.
     """
-    relative, share, ratio, size = found.T
-    relative, share, ratio = np.tanh(5 * relative), 10 * share, np.log(ratio + 1e-3)
-    return np.stack([relative, share, ratio, size, share * ratio, relative * ratio, ratio * ratio, size * ratio, share * size, share * share], 1)
+    relative, share, *saved = found.T
+    terms = [np.tanh(5 * relative), 10 * share, saved[0], saved[1], 10 * saved[2], 10 * saved[3]]
+    products = [terms[i] * terms[j] for i in range(len(terms)) for j in range(i, len(terms))]
+    return np.stack([*terms, *products, *[np.log(np.maximum(x, 0) + 1e-2) for x in saved]], 1)
 
 
 def calibrate(found: np.ndarray, labels: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,7 +143,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None =
 
     Ids whose labels contradict each other are left out. Rows are taken in the order of a hash of the id, up to the bounds in
     settings, with one text an id; dictionaries and calibration see different halves. Lines that several sampled documents
-    share are boilerplate and stay out of the dictionaries. Only the dictionary texts, cut to row_chars, come to the driver, and four
+    share are boilerplate and stay out of the dictionaries. Only the dictionary texts, cut to row_chars, come to the driver, and six
     numbers for each calibration row. Without labels, or without bad ones, every score is 1; without good ones it is 0.
     """
     settings = settings or Settings()
@@ -162,15 +170,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None =
     wanted = known.where(half == 1).orderBy("h").limit(settings.calibration_rows).drop("h")
     measured = one_text(texts, wanted)
 
+    names = [f"m{i}" for i in range(MEASURES)]
+
     def measure(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.open()
         for batch in given:
-            found = np.array([measures(tools, t) for t in batch["text"].to_pylist()]).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([batch["quality"].cast(pa.int32()), *map(pa.array, found.T)], ["quality", "a", "b", "c", "d"])
+            found = np.array([measures(tools, t) for t in batch["text"].to_pylist()]).reshape(-1, MEASURES)
+            yield pa.RecordBatch.from_arrays([batch["quality"].cast(pa.int32()), *map(pa.array, found.T)], ["quality", *names])
 
     got = (
-        measured.mapInArrow(measure, "quality int, a double, b double, c double, d double")
-        .orderBy("a", "b", "c", "d", "quality").collect()
+        measured.mapInArrow(measure, "quality int, " + ", ".join(f"{n} double" for n in names))
+        .orderBy(*names, "quality").collect()
     )
     if len({r.quality for r in got}) == 2:
         found, labelled = np.array([r[1:] for r in got]), np.array([r.quality for r in got], float)
@@ -190,7 +200,7 @@ def with_score(docs: DataFrame, model: QualityModel, name: str = "score") -> Dat
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.open()
         for batch in given:
-            found = np.array([measures(tools, t or "") for t in batch["text"].to_pylist()]).reshape(-1, 4)
+            found = np.array([measures(tools, t or "") for t in batch["text"].to_pylist()]).reshape(-1, MEASURES)
             out = pa.array(scores(model, found), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, name])
 
@@ -201,15 +211,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None
     """One row per row of docs: doc_id, held_out, score (0 to 1, higher for label 1), predicted (1 from 0.7 on).
 
     The score is the calibrated probability of label 1 given how much smaller the whole text gets with the dictionary of good text
-    than with that of bad text. Null ids are not held out. No shuffle of texts but those fitted on.
+    than with that of bad text. Null ids are not held out; repeated rows each get a row, with one score; an empty table gives none; texts of any
+    length are scored whole. No shuffle of texts but those fitted on.
     """
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text")  # no other column can clash with the score
     return with_score(rows, fit_quality(docs, labels, settings)).select(
         "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with their columns, that score at least threshold."""
-    name = "__quality"
+    """The rows of docs, with their columns, that score at least threshold; repeated rows all stay or all go; an empty table stays empty."""
+    name = fresh("__quality", docs.columns)
     return with_score(docs, fit_quality(docs, labels, settings), name).where(F.col(name) >= threshold).select(docs.columns)
