@@ -112,22 +112,34 @@ SPELLED_ONE = re.compile(rf"(?<!\w)({_WORDS})(?!\w)(?:[ -](?=(?:{_WORDS})(?!\w))
 PLUS = re.compile(r"(?<!\w)plus[ ]?(?=[0-9])", re.IGNORECASE)
 NUMBER_DOT = re.compile(r"(?<=[0-9]) ?(?:[\[({<] ?(?:dot|punkt|point|punto|\.) ?[\])}>]|(?<= )(?:dot|punkt|point|punto)(?= )) ?(?=[0-9])", re.IGNORECASE)
 
-_AT = r" ?[\[({<] ?(?:at|ät|arroba|@) ?[\])}>] ?"
+_AT = r" ?[\[({<] ?(?:at|ät|arroba|arobase|@) ?[\])}>] ?"
 _BARE_AT = r" (?:at|arroba) "
 _DOT = r" ?[\[({<] ?(?:dot|punkt|point|punto|\.) ?[\])}>] ?| (?:dot|punkt|punto) "
 _NAME = r"[A-Za-z0-9_%+-]++"
 _LABEL = r"[A-Za-z0-9-]++"
 # Last labels that make "name at label dot label" an address rather than prose.
 _LAST = "com|org|net|edu|gov|mil|int|info|biz|name|io|ai|app|dev|co|me|tv|eu|de|fr|es|it|nl|be|ch|pt|pl|se|no|dk|fi|cz|uk|ie|us|ca|mx|br|ar|cl|au|nz|jp|cn|kr|in|ru|za|test|example|invalid|local"
-#: name AT label DOT label, AT or DOT disguised. A bare "at" needs a spelled dot and a known last label, for "at x.y" is prose.
+# Words after "at" in prose, as in "at the dot".
+_PROSE = "the|this|that|a|an|any|some|no|each|every|my|your|his|her|our|their|its|one"
+#: name AT label DOT label, AT or DOT disguised. A bare "at" needs a spelled dot, for "at x.y" is prose, and a known last label or else any of
+#: letters that ends its phrase, for "at polka dot dresses are" is prose as well.
 DISGUISED = re.compile(
     rf"(?<![A-Za-z0-9_%+-]){_NAME}(?:(?:\.|{_DOT}){_NAME}){{0,8}}?"
-    rf"(?:(?:{_AT}|@){_LABEL}(?:(?:\.|{_DOT}){_LABEL})+|{_BARE_AT}{_LABEL}(?:(?:\.|{_DOT}){_LABEL}){{0,8}}(?:{_DOT})(?:{_LAST})(?![A-Za-z0-9-]))",
+    rf"(?:(?:{_AT}|@){_LABEL}(?:(?:\.|{_DOT}){_LABEL})+"
+    rf"|{_BARE_AT}{_LABEL}(?:(?:\.|{_DOT}){_LABEL}){{0,8}}(?:{_DOT})(?:{_LAST})(?![A-Za-z0-9-])"
+    rf"|{_BARE_AT}(?!(?:{_PROSE}) ){_LABEL}(?:(?:\.|{_DOT}){_LABEL}){{0,8}}(?:{_DOT})[A-Za-z]{{2,12}}+(?= ?(?:[^\w\s-]|\n|\Z)))",
     re.IGNORECASE,
 )
+_BARE_AROBASE = r" ?(?:[\[({<] ?arobase ?[\])}>]| arobase ) ?"
+_POINT = rf"{_DOT}| point "
+#: The same in French: "arobase" is no word of prose, so a bare "point" is a dot beside it. "at this point in" stays prose.
+AROBASE = re.compile(rf"(?<![A-Za-z0-9_%+-]){_NAME}(?:(?:\.|{_DOT}){_NAME}){{0,8}}?{_BARE_AROBASE}{_LABEL}(?:(?:\.|{_POINT}){_LABEL})+", re.IGNORECASE)
+AROBASE_HINT = re.compile(r"arobase", re.IGNORECASE)
 DISGUISE_HINT = re.compile(r"[\[({<] ?(?:at|ät|arroba|@|dot|punkt|point|punto|\.) ?[\])}>]| (?:dot|punkt|punto) ", re.IGNORECASE)
 AT_SIGN = re.compile(rf"{_AT}|{_BARE_AT}", re.IGNORECASE)
+AROBASE_SIGN = re.compile(_BARE_AROBASE, re.IGNORECASE)
 DOT_SIGN = re.compile(_DOT, re.IGNORECASE)
+POINT_SIGN = re.compile(_POINT, re.IGNORECASE)
 
 Edit = tuple[int, int, str]
 
@@ -178,6 +190,10 @@ def fold_signs(text: str) -> list[Edit]:
         span = found.span()
         edits += [(m.start(), m.end(), "@") for m in AT_SIGN.finditer(text, *span)]
         edits += [(m.start(), m.end(), ".") for m in DOT_SIGN.finditer(text, *span)]
+    for found in AROBASE.finditer(text) if AROBASE_HINT.search(text) else ():
+        span = found.span()
+        edits += [(m.start(), m.end(), "@") for m in AROBASE_SIGN.finditer(text, *span)]
+        edits += [(m.start(), m.end(), ".") for m in POINT_SIGN.finditer(text, *span)]
     edits += [(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text)]
     edits += [(m.start(), m.end(), "+") for m in PLUS.finditer(text)]
     out: list[Edit] = []
@@ -223,7 +239,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     The counts and the digest are of the base spans; spans lists these and the n_added ones that appear after
     homoglyphs, spelled digits and at/dot disguises are normalised, as kind:start:end in code points of the source.
-    Null text counts as empty; repeated rows each get a row; other columns are not looked at. No shuffle.
+    Null text counts as empty; repeated rows each get a row; an empty table gives an empty one; other columns are not looked at. Whole texts are
+    read, however long; a text is the unit of work, and time grows with its length. No shuffle.
     """
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +271,7 @@ def masked(text: str) -> str:
 def mask_personal_data(docs: DataFrame) -> DataFrame:
     """docs with all its rows and columns, personal data in text replaced, and n_chars (where there is one) counted anew.
 
-    Null texts stay null.
+    Null texts stay null; repeated rows stay; an empty table stays empty; whole texts are read and written.
     """
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
