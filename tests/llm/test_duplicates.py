@@ -175,3 +175,67 @@ def test_fingerprints_of_unrelated_texts_are_told_apart(spark):
     # Below 0 counts as 0, which leaves half of the variance 1 / 64.
     assert len(found) == 600 and (sum(r.near**2 for r in found) / len(found)) ** 0.5 < 0.105
     assert len(multiset.edited_fingerprints(docs_of(spark, ["a b"])).first().fingerprint) == 64 * 12
+
+
+def test_kept_rows_have_their_own_columns_whatever_their_names(spark):
+    from lintel.llm.exact import drop_exact_duplicates
+    from lintel.llm.simhash import drop_near_duplicates
+
+    docs = docs_of(spark, ["one two three four", "one two three four", "other words are here", None]).selectExpr("*", "'mine' AS __row_key", "'too' AS __ROW_KEY_")
+    for drop in (drop_exact_duplicates, drop_near_duplicates):
+        got = drop(docs)
+        assert got.columns == docs.columns
+        assert {(r["__row_key"], r["__ROW_KEY_"]) for r in got.collect()} == {("mine", "too")}
+
+
+def test_lane_sums_and_likeness_by_brute_force(spark):
+    """Paragraphs by the pattern, lanes by 64-bit hashes computed apart, sums and dot products in Python integers."""
+    import re
+
+    import xxhash
+
+    from lintel.llm import multiset
+
+    texts = ["one line.\ntwo lines? yes. no\n\nthree", "two lines? yes. no", "", "x" * 700, "same. same. same.", "three\none line."]
+    docs = docs_of(spark, texts)
+    rows = {r.doc_id: r for r in multiset.edited_fingerprints(docs, lanes=8).collect()}
+    piece = re.compile(multiset.PIECE.replace(r"\z", r"\Z"))
+
+    def signed(h):
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    def of_longs(*values, seed=42):
+        for v in values:
+            seed = signed(xxhash.xxh64_intdigest(int(v).to_bytes(8, "little", signed=True), seed=seed & (2**64 - 1)))
+        return seed
+
+    def sums(text):
+        total = [0] * 8
+        for p in piece.findall(text):
+            raw = p.encode()
+            h1 = signed(xxhash.xxh64_intdigest(raw, seed=42))
+            first = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), seed=42)
+            h2 = signed(xxhash.xxh64_intdigest(raw, seed=first))
+            for lane in range(8):
+                seed = of_longs(h1, h2)
+                whole = signed(xxhash.xxh64_intdigest((lane // 2).to_bytes(4, "little"), seed=seed & (2**64 - 1)))
+                half = whole >> 32 if lane % 2 else ((whole & 0xFFFFFFFF) ^ 0x80000000) - 0x80000000
+                total[lane] += half
+        return total
+
+    def likeness(a, b):
+        dot = lambda x, y: float(sum(i * j for i, j in zip(x, y, strict=True)))
+        if a == b:
+            return 1.0
+        scale = dot(a, a) + dot(b, b)
+        return max(0.0, min(1.0, 2 * dot(a, b) / scale)) if scale else 0.0
+
+    for i, text in enumerate(texts):
+        after = texts[i - 1]  # descending ids, and the last after the first
+        n = len(text)
+        edited = text[: n - n // 3] + after[: n // 3]
+        shown = lambda s: "".join(f"{x % (1 << 48):012x}" for x in s)
+        assert rows[i].fingerprint == shown(sums(text)) and rows[i].edited_fingerprint == shown(sums(edited))
+        assert abs(rows[i].near_edited - likeness(sums(text), sums(edited))) < 1e-9
+        assert abs(rows[i].near_next - likeness(sums(text), sums(after))) < 1e-9
+        assert rows[i].n_pieces == len(piece.findall(text))

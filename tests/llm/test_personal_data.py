@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from tables import awkward, documents, empty
 
 from lintel.llm import pii
@@ -89,3 +91,24 @@ def test_masking_keeps_rows_and_columns(spark):
     assert done.dtypes == documents(spark).dtypes
     rows = done.collect()
     assert not any(brute(r.text or "") for r in rows) and all(r.n_chars == len(r.text) for r in rows)
+
+
+@pytest.mark.parametrize("text", [
+    "jan at firma dot xyz", "marie (arobase) exemple.fr", "marie arobase exemple point fr", "jean.dupont arobase exemple point co point fr", "(jan at firma dot shop)",
+])
+def test_disguises_with_any_last_label_and_in_french(text):
+    from lintel.llm.pii import all_spans
+
+    spans = all_spans(f"Contact: {text}, thanks")[1]
+    assert [f"{k}" for _, _, k in spans] == ["email"]
+    a, b, _ = spans[0]
+    assert f"Contact: {text}, thanks"[a:b] == text.strip("()")
+
+
+@pytest.mark.parametrize("text", [
+    "we arrived at this point in time", "look at polka dot dresses in the shop", "she looked at the dot xyz.", "un point de vue, une arobase", "at a point near the dot", "le signe arobase est un point",
+])
+def test_prose_is_no_disguise(text):
+    from lintel.llm.pii import all_spans
+
+    assert all_spans(text)[1] == []
