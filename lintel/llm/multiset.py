@@ -77,8 +77,8 @@ def ring(rows: DataFrame) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("key").desc()]
     ranged = stored(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ring")
     within = Window.partitionBy("range").orderBy(*order)
-    looked = stored(ranged.withColumn("ahead", F.lead("key").over(within)).withColumn("at", F.row_number().over(within)), "ring")
-    heads = looked.where("at = 1").select("range", F.col("key").alias("head"))
+    looked = ranged.withColumn("ahead", F.lead("key").over(within))
+    heads = ranged.groupBy("range").agg(F.max_by("key", F.struct(F.col("doc_id").isNotNull(), "doc_id", "key")).alias("head"))
     along = Window.partitionBy(F.lit(0)).orderBy("range")
     around = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = heads.select("range", F.coalesce(F.lead("head").over(along), F.first("head").over(around)).alias("head"))
@@ -94,33 +94,29 @@ def edited_fingerprints(docs: DataFrame, lanes: int = LANES) -> DataFrame:
     text has the fingerprint of no paragraphs. Rows repeated as a whole count once in the order of
     documents and each get a row. A table of one document is its own next. No rows for an empty table.
 
-    Texts move through one shuffle by key, which both uses of them share, and the starts of texts through a second
-    one. All sums are made within a partition after that, as rows then lie by key; what moves on are lane sums.
+    Rows repeated as a whole are merged before anything moves, so a hot row is one row a task. Texts then move through one shuffle by key, which
+    all uses of them share, the starts of texts through a second one, and the lane sums of a text, to the document before
+    it, through a third. All else is made within a partition, as rows then lie by key.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), row_key().alias("key"))
     known = texts.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min(F.length("text")).alias("n"), F.count("*").alias("copies"))
     links = stored(ring(known), "ring")
-    by_key = texts.select("key", "text")
+    by_key = texts.select("key", "text").dropDuplicates(["key"])
     wanted = links.select(F.col("next_key").alias("key"), F.col("key").alias("to"), F.expr("n div 3").alias("size"))
-    starts = by_key.join(wanted, "key").select(
-        F.col("to").alias("key"), F.expr("substring(text, 1, int(size))").alias("start")
-    ).dropDuplicates(["key"])
-    whole = by_key.join(links, "key").dropDuplicates(["key"]).join(starts, "key")
-    facts = ["key", "doc_id", "n", "copies", "next_key"]
-    both = whole.select(
+    starts = by_key.join(wanted, "key").select(F.col("to").alias("key"), F.expr("substring(text, 1, int(size))").alias("start"))
+    facts = ["key", "doc_id", "n", "copies"]
+    both = by_key.join(links.select(*facts), "key").join(starts, "key").select(
         *facts, F.posexplode(F.array("text", F.expr("concat(substring(text, 1, int(n - n div 3)), start)"))).alias("which", "t")
     ).select(*facts, "which", "t", F.sha2("t", 256).alias("sha"))
     sums = multiset_hash(both, [*facts, "which", "sha"], "t", lanes)
     one = lambda c, at: F.first(F.when(F.col("which") == at, F.col(c)), ignorenulls=True)
-    prints = stored(
-        sums.groupBy(*facts).agg(
-            one("n_pieces", 0).alias("n_pieces"), one("sums", 0).alias("own"), one("sums", 1).alias("new"), one("sha", 1).alias("edited_sha256")
-        ),
-        "multiset",
+    prints = sums.groupBy(*facts).agg(
+        one("n_pieces", 0).alias("n_pieces"), one("sums", 0).alias("own"), one("sums", 1).alias("new"), one("sha", 1).alias("edited_sha256")
     )
-    near = prints.select(F.col("key").alias("next_key"), F.col("own").alias("next_own"))
+    # the sums of every text once more, sent to the document before it: narrower than to carry both documents' sums through a join
+    near = multiset_hash(by_key, ["key"], "text", lanes).join(wanted, "key").select(F.col("to").alias("key"), F.col("sums").alias("next_own"))
     return (
-        prints.join(near, "next_key")
+        prints.join(near, "key")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
         .select(
             "doc_id", F.col("n").cast("bigint").alias("n_chars"), "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
