@@ -44,6 +44,12 @@ class Cells:
             raise OverflowError("squared distances of these vectors do not fit a long")
         return cls(cuts, np.concatenate([first, cuts + 1], 1), np.concatenate([cuts, last], 1))
 
+    @property
+    def kind(self) -> type:
+        """The narrowest integers that hold all components."""
+        most = max(int(np.abs(self.lo[:, 0]).max()), int(np.abs(self.hi[:, -1]).max()))
+        return np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64
+
     def of(self, x: np.ndarray) -> np.ndarray:
         """The cell numbers of vectors, a byte a dimension."""
         return np.stack([np.searchsorted(self.cuts[j], x[:, j], side="left") for j in range(x.shape[1])], 1).astype(np.uint8)
@@ -104,7 +110,7 @@ def _judged(rows: DataFrame, cells: Cells, centroids: np.ndarray) -> DataFrame:
         for batch in given:
             for start in range(0, batch.num_rows, STEP):
                 part = batch.slice(start, STEP)
-                open_ = tables.candidates(_cells_of(part["cells"], len(cells.cuts)))
+                open_ = tables.candidates(_unpacked(part["cells"], len(cells.cuts)))
                 sure = open_.sum(1) == 1
                 cluster = pa.array(open_.argmax(1), pa.int32(), mask=~sure)
                 some = pa.array([None if s else np.nonzero(o)[0].tolist() for s, o in zip(sure, open_, strict=True)], pa.list_(pa.int32()))
@@ -114,8 +120,13 @@ def _judged(rows: DataFrame, cells: Cells, centroids: np.ndarray) -> DataFrame:
     return rows.select("row", "cells", "old").mapInArrow(batches, "row bigint, cells binary, old int, cluster int, candidates array<int>")
 
 
-def _cells_of(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+def _packed(x: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    return pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
+
+
+def _unpacked(column: pa.Array, width: int, kind: type = np.uint8) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
 
 
 class Moves:
@@ -158,14 +169,14 @@ def _resolved(fetched: DataFrame, cells: Cells, centroids: np.ndarray) -> DataFr
         for batch in given:
             for start in range(0, batch.num_rows, STEP):
                 part = batch.slice(start, STEP)
-                x = matrix(part["v"], width).astype(np.int64)
+                x = _unpacked(part["v"], width, cells.kind).astype(np.int64)
                 old = part["old"].to_numpy(zero_copy_only=False).astype(np.int64)
                 if judged:
                     open_ = np.zeros((len(x), k), bool)
                     for i, (c, some) in enumerate(zip(part["cluster"].to_pylist(), part["candidates"].to_pylist(), strict=True)):
                         open_[i, some if c is None else c] = True
                 else:
-                    open_ = tables.candidates(_cells_of(part["cells"], width))
+                    open_ = tables.candidates(_unpacked(part["cells"], width))
                 new = open_.argmax(1)
                 wide = open_.sum(1) > 1
                 if wide.any():
@@ -191,8 +202,8 @@ def _measured(base: DataFrame, cells: Cells, centroids: np.ndarray) -> DataFrame
         for batch in given:
             for start in range(0, batch.num_rows, STEP):
                 part = batch.slice(start, STEP)
-                x = matrix(part["v"], width).astype(np.int64)
-                open_ = tables.candidates(_cells_of(part["cells"], width))
+                x = _unpacked(part["v"], width, cells.kind).astype(np.int64)
+                open_ = tables.candidates(_unpacked(part["cells"], width))
                 new = open_.argmax(1)
                 wide = open_.sum(1) > 1
                 if wide.any():
@@ -206,20 +217,22 @@ def _measured(base: DataFrame, cells: Cells, centroids: np.ndarray) -> DataFrame
     return base.select("vec_id", "v", "cells").mapInArrow(batches, f"vec_id {kind}, cluster int, distance bigint")
 
 
-def _base(vectors: DataFrame, vec_id: str, vector: str, width: int, bits: int) -> tuple[DataFrame, Cells] | None:
-    """The VA-file: one table whose columns `cells` and `v` are read apart, and the bounds of the cells."""
-    rows = vectors.where(is_whole(vector) & (F.size(vector) == width)).select(F.col(vec_id).alias("vec_id"), to_integers(vector).alias("v"))
-    if rows.isEmpty():
-        return None
+def _whole(vectors: DataFrame, vec_id: str, vector: str, width: int) -> DataFrame:
+    kept = vectors.where(is_whole(vector) & (F.size(vector) == width))
+    return kept.select(F.col(vec_id).alias("vec_id"), to_integers(vector).alias("v"))
+
+
+def _base(rows: DataFrame, width: int, bits: int) -> tuple[DataFrame, Cells]:
+    """The VA-file: one table with row numbers, whose columns `cells` and `v`, both packed, are read apart; and the bounds of the cells."""
     cells = Cells.fit(rows, width, bits)
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            at = cells.of(matrix(batch["v"], width).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["v"], pa.array([r.tobytes() for r in at], pa.binary())], ["vec_id", "v", "cells"])
+            x = matrix(batch["v"], width).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["vec_id"], _packed(x.astype(cells.kind)), _packed(cells.of(x))], ["vec_id", "v", "cells"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
-    made = spread(rows).mapInArrow(batches, f"vec_id {kind}, v array<bigint>, cells binary")
+    made = spread(rows).mapInArrow(batches, f"vec_id {kind}, v binary, cells binary")
     return stored(made.withColumn("row", F.monotonically_increasing_id()), "va"), cells
 
 
@@ -241,14 +254,14 @@ def cluster_vectors(
     Other rows and columns are not looked at. Repeated rows each count and each get a row; fewer than k vectors are as many centroids; no vectors give
     an empty result. On the driver are k centroids, k sums and the bounds of the cells.
     """
-    found = _base(vectors, vec_id, vector, width, bits)
-    if found is None:
+    rows = _whole(vectors, vec_id, vector, width)
+    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
+    start = rows.orderBy(order.asc_nulls_last(), "v").limit(k).collect()
+    if not start:
         kind = vectors.schema[vec_id].dataType.simpleString()
         return vectors.sparkSession.createDataFrame([], f"vec_id {kind}, cluster int, distance bigint"), np.empty((0, width), np.int64)
-    base, cells = found
+    base, cells = _base(rows, width, bits)
     spark = vectors.sparkSession
-    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
-    start = base.select("vec_id", "v").orderBy(order.asc_nulls_last(), "v").limit(k).collect()
     centroids = np.array([r.v for r in start], np.int64)
     total, count = np.zeros(centroids.shape, object), np.zeros(len(centroids), np.int64)
     parts = base.select("row").rdd.getNumPartitions()
