@@ -10,17 +10,22 @@ from pyspark.sql import functions as F
 from lintel.checks.common import KEY, LABEL, WITH, per_column_sql, rounded, rs
 from lintel.checks.tables import RANKED
 from lintel.operators import clean, encode, groups, neighbours, ranking, scale
-from lintel.sources.listing import CLASSES, listing, numeric_rows, table
-
-IMPUTED = ["ConstructionYear", "GroundFloorArea", "BasementArea", "PlotSize", "ParkingSpots", "Restrooms", "TotalRooms"]
-NULLED = IMPUTED[:-1]
-WORDS = ["HeatingType", "ZoningClassification", "RoofType"]
+from lintel.plans.features import FeatureConfig, fit_features
+from lintel.sources.listing import CLASSES, NUMERIC, TEXT, listing, numeric_rows, table
+
+IMPUTED = NUMERIC
+# The numeric columns of the test tables that have nulls.
+NULLED = ["ConstructionYear", "RenovationYear", "GroundFloorArea", "UpperFloorArea", "BasementArea", "FinishedBasementArea1",
+          "FinishedBasementArea2", "UnfinishedBasementArea", "PlotSize", "ParkingSpots", "Restrooms", "BasementQuality", "BasementCondition"]
+WORDS = TEXT
 FREQUENT = ["RoofType", "ExteriorCovering1", "FoundationType", "HeatingType"]
 ENCODED = ["ZoningClassification", "BuildingType", "BuildingStyle", "HeatingType"]
 ONE_HOT = ["HeatingType", "RoofType", "FoundationType"]
 GROUPED = ["ZoningClassification", "BuildingType"]
 VALUES = ["TotalLivingArea", "BuildingAge", "OverallQuality"]
-BOUNDED = ["GroundFloorArea", "PlotSize", "UpperFloorArea", "BuildingGrade"]
+BOUNDED = NUMERIC
+#: Rows are removed by these alone: by all columns hardly any would be left.
+REMOVED = ["GroundFloorArea", "PlotSize", "UpperFloorArea", "BuildingGrade"]
 
 
 def train(df: DataFrame) -> DataFrame:
@@ -79,8 +84,9 @@ def bounds(method: str, threshold: float):
 
 def apply_bounds(action: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows = numeric_rows(spark, sf, *BOUNDED).drop(LABEL)
-        return rounded(clean.fit_outlier_bounds(rows, BOUNDED, "iqr", 0.3).apply(rows, action))
+        columns = REMOVED if action == "remove" else BOUNDED
+        rows = numeric_rows(spark, sf, *columns).drop(LABEL)
+        return rounded(clean.fit_outlier_bounds(rows, columns, "iqr", 0.3).apply(rows, action))
 
     return query
 
@@ -130,9 +136,9 @@ def mean_target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def target_oof(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ranking.stratified_folds(listing(spark, sf, KEY, LABEL, "ZoningClassification"), LABEL, KEY, 5, 42)
-    out = encode.target_encode_oof(rows, ["ZoningClassification"], LABEL, "fold", CLASSES)
-    return rounded(out.select(KEY, *[f"TE__ZoningClassification__p{i}" for i in range(5)]))
+    rows = ranking.stratified_folds(listing(spark, sf, KEY, LABEL, *ENCODED), LABEL, KEY, 5, 42)
+    out = encode.target_encode_oof(rows, ENCODED, LABEL, "fold", CLASSES)
+    return rounded(out.select(KEY, *[f"TE__{c}__p{i}" for c in ENCODED for i in range(5)]))
 
 
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +204,7 @@ PARTS_SQL = """WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN CA
  CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_partkey * 37 % 101 AS DOUBLE) END AS p_weight FROM part)"""
 
 
-def knn_sql(k: int, weighted: bool) -> str:
+def knn_sql(k: int, weighted: bool, digits: int = 6) -> str:
     total = " + ".join(f"coalesce((q.{c} - d.{c}) * (q.{c} - d.{c}), 0)" for c in PARTS)
     shared = " + ".join(f"CAST(q.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INT)" for c in PARTS)
     searches = " UNION ALL ".join(
@@ -207,7 +213,7 @@ def knn_sql(k: int, weighted: bool) -> str:
     )
     weight = "CASE WHEN min(dist) OVER (PARTITION BY k, t) = 0 THEN CAST(dist = 0 AS DOUBLE) ELSE 1 / dist END" if weighted else "1.0e0"
     fill = ", ".join(
-        f'round(coalesce({c}, (SELECT m FROM f WHERE k = p_partkey AND t = \'{c}\'), (SELECT avg({c}) FROM p)), 6) + 0.0 AS {c}, CAST({c} IS NULL AS INT) AS "{c}_missing"'
+        f'round(coalesce({c}, (SELECT m FROM f WHERE k = p_partkey AND t = \'{c}\'), (SELECT avg({c}) FROM p)), {digits}) + 0.0 AS {c}, CAST({c} IS NULL AS INT) AS "{c}_missing"'
         for c in PARTS
     )
     return PARTS_SQL + f""", near AS (SELECT * FROM ({searches}) QUALIFY row_number() OVER (PARTITION BY k, t ORDER BY dist, dk) <= {k}),
@@ -240,10 +246,10 @@ def mode_of(c: str, source: str = "listing") -> str:
     return f'(SELECT "{c}" FROM {source} WHERE "{c}" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, "{c}" LIMIT 1)'
 
 
-def bounds_cte(threshold: str = "0.3e0") -> str:
+def bounds_cte(names: list[str], threshold: str = "0.3e0") -> str:
     return ", ".join(
         f"""b_{c} AS (SELECT q1 - {threshold} * (q3 - q1) AS lo, q3 + {threshold} * (q3 - q1) AS hi
- FROM (SELECT quantile_cont(CAST("{c}" AS DOUBLE), 0.25) AS q1, quantile_cont(CAST("{c}" AS DOUBLE), 0.75) AS q3 FROM listing))""" for c in BOUNDED
+ FROM (SELECT quantile_cont(CAST("{c}" AS DOUBLE), 0.25) AS q1, quantile_cont(CAST("{c}" AS DOUBLE), 0.75) AS q3 FROM listing))""" for c in names
     )
 
 
@@ -253,9 +259,10 @@ def bounds_sql(action: str) -> str:
         "nan": 'CASE WHEN "{c}" BETWEEN b_{c}.lo AND b_{c}.hi THEN CAST("{c}" AS DOUBLE) END',
         "remove": 'CAST("{c}" AS DOUBLE)',
     }
-    columns = ", ".join(rs(cases[action].format(c=c), c) for c in BOUNDED)
-    where = " WHERE " + " AND ".join(f'"{c}" BETWEEN b_{c}.lo AND b_{c}.hi' for c in BOUNDED) if action == "remove" else ""
-    return WITH + f", {bounds_cte()} SELECT {KEY}, {columns} FROM listing, {', '.join(f'b_{c}' for c in BOUNDED)}{where}"
+    names = REMOVED if action == "remove" else BOUNDED
+    columns = ", ".join(rs(cases[action].format(c=c), c) for c in names)
+    where = " WHERE " + " AND ".join(f'"{c}" BETWEEN b_{c}.lo AND b_{c}.hi' for c in names) if action == "remove" else ""
+    return WITH + f", {bounds_cte(names)} SELECT {KEY}, {columns} FROM listing, {', '.join(f'b_{c}' for c in names)}{where}"
 
 
 def info_sql() -> str:
@@ -264,7 +271,7 @@ def info_sql() -> str:
  count(*) FILTER ("{c}" > hi) AS n_above, count(*) FILTER ("{c}" < lo OR "{c}" > hi) AS n_total,
  {rs(f'count(*) FILTER ("{c}" < lo OR "{c}" > hi) * 100.0e0 / count(*)', "pct_outliers")} FROM listing, b_{c}""" for c in BOUNDED
     )
-    return WITH + f", {bounds_cte()} {lines}"
+    return WITH + f", {bounds_cte(BOUNDED)} {lines}"
 
 
 def target_sql(columns: list[str], null_is_prior: bool) -> str:
@@ -344,17 +351,47 @@ def rare_case(c: str) -> str:
 
 def oof_sql() -> str:
     ks = range(5)
-    c = "ZoningClassification"
     sums = ", ".join(f"CAST(count(*) FILTER ({LABEL} = {k}) AS DOUBLE) AS n{k}" for k in ks)
     rest = ", ".join(f"((SELECT count(*) FROM f WHERE {LABEL} = {k}) - n{k}) / ((SELECT count(*) FROM f) - n) AS p{k}" for k in ks)
     others = ", ".join(f"sum(n{k}) OVER (PARTITION BY v) - n{k} AS m{k}" for k in ks)
-    out = ", ".join(rs(f"(m{k} + 10.0e0 * p{k}) / (m + 10.0e0)", f"TE__{c}__p{k}") for k in ks)
+    parts = [
+        f"""t{i} AS (SELECT {KEY}, {LABEL}, fold, coalesce({c}, 'nan') AS v FROM f JOIN listing USING ({KEY}, {LABEL})),
+ counts{i} AS (SELECT v, fold, CAST(count(*) AS DOUBLE) AS n, {sums} FROM t{i} GROUP BY 1, 2),
+ others{i} AS (SELECT v, fold, sum(n) OVER (PARTITION BY v) - n AS m, {others} FROM counts{i}),
+ out{i} AS (SELECT {KEY}, {", ".join(rs(f"(m{k} + 10.0e0 * p{k}) / (m + 10.0e0)", f"TE__{c}__p{k}") for k in ks)} FROM t{i} JOIN others{i} USING (v, fold) JOIN rest USING (fold))"""
+        for i, c in enumerate(ENCODED)
+    ]
+    joined = " ".join(f"JOIN out{i} USING ({KEY})" for i in range(1, len(ENCODED)))
     return RANKED + f""", f AS (SELECT {KEY}, {LABEL}, CAST((k - 1) % 5 AS INT) AS fold FROM ranked),
- t AS (SELECT {KEY}, {LABEL}, fold, coalesce({c}, 'nan') AS v FROM f JOIN listing USING ({KEY}, {LABEL})),
  per_fold AS (SELECT fold, CAST(count(*) AS DOUBLE) AS n, {sums} FROM f GROUP BY 1), rest AS (SELECT fold, {rest} FROM per_fold),
- counts AS (SELECT v, fold, CAST(count(*) AS DOUBLE) AS n, {sums} FROM t GROUP BY 1, 2),
- others AS (SELECT v, fold, sum(n) OVER (PARTITION BY v) - n AS m, {others} FROM counts)
- SELECT {KEY}, {out} FROM t JOIN others USING (v, fold) JOIN rest USING (fold)"""
+ {", ".join(parts)} SELECT * FROM out0 {joined}"""
+
+
+def features_by_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """A feature table with nearest-neighbour imputation, of all parts: filled, flagged and scaled."""
+    rows = parts(spark, sf).withColumn("kind", (F.col("p_partkey") % 3).cast("int"))
+    fitted = fit_features(rows, FeatureConfig("p_partkey", "kind", impute="knn", classes=[0, 1, 2]))
+    return rounded(fitted.apply(rows, rows), digits=5)
+
+
+def features_by_neighbours_sql() -> str:
+    scaled_ = ", ".join(rs(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()", c, 5) for c in PARTS)
+    flagged = ", ".join(f'"{c}_missing"' for c in PARTS)
+    return f"SELECT p_partkey, CAST(p_partkey % 3 AS INT) AS kind, {scaled_}, {flagged} FROM ({knn_sql(5, False, 12)})"
+
+
+def listing_by_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """All numeric columns of the whole listing filled from their nearest rows: what was there is as it was, and what was filled lies among the
+    values of its column. tests/test_scale_paths.py holds filled values to brute force.
+    """
+    rows = numeric_rows(spark, sf).drop(LABEL)
+    filled = neighbours.knn_impute(rows, rows, KEY, NUMERIC)
+    spans = rows.agg(*[f(c).alias(f"{p}_{c}") for c in NULLED for p, f in (("lo", F.min), ("hi", F.max))]).first()
+    inside = F.lit(True)
+    for c in NULLED:
+        inside = inside & F.col(c).between(spans[f"lo_{c}"], spans[f"hi_{c}"])
+    kept = [F.when(F.col(f"{c}_missing") == 0, F.col(c)).alias(c) for c in NULLED]
+    return rounded(filled.select(KEY, *[c for c in NUMERIC if c not in NULLED], *kept, *[f"{c}_missing" for c in NUMERIC], inside.alias("inside")))
 
 
 def entries() -> dict:
@@ -415,6 +452,9 @@ def entries() -> dict:
         "group_relshift": (relative("RelShift"), group_sql("RelShift")),
         "knn_impute": (knn("uniform"), knn_sql(5, False)),
         "knn_impute_distance": (knn("distance"), knn_sql(5, True)),
+        "build_features_knn": (features_by_neighbours, features_by_neighbours_sql()),
+        "knn_impute_listing": (listing_by_neighbours, WITH + f""" SELECT {KEY}, {", ".join(rs(f'CAST("{c}" AS DOUBLE)', c) for c in NUMERIC)},
+ {flags(NUMERIC)}, true AS inside FROM listing"""),
     }
 
 

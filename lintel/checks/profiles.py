@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintel.checks.common import KEY, LABEL, WITH, melt_sql, per_column_sql, rounded, rs
@@ -14,13 +16,29 @@ from lintel.sources.listing import NUMERIC, TEXT, listing, numeric_rows, table
 SHARE = "CAST({0} AS DOUBLE) / {1}"
 
 
-def as_table(reports: dict[str, DataFrame]) -> DataFrame:
-    """Number of lines per report."""
-    counts = [t.agg(F.lit(name).alias("report"), F.count("*").alias("n_lines")) for name, t in reports.items()]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+def significant(col: Column) -> Column:
+    """Twelve digits: means of large keys differ beyond them."""
+    return F.when(col.isNotNull(), F.format_string("%.11e", col)).cast("double")
+
+
+def as_rows(reports: dict[str, DataFrame]) -> DataFrame:
+    """All reports as one table: a row for each report, line (the first column, if there are more lines than one) and measure."""
+    parts = []
+    for name, t in reports.items():
+        line, measures = (F.lit(""), t.columns) if name == "basic_info" else (F.col(t.columns[0]).cast("string"), t.columns[1:])
+        cells = F.array(*[F.struct(F.lit(m).alias("measure"), significant(F.col(m).cast("double")).alias("value")) for m in measures])
+        parts.append(t.select(F.lit(name).alias("report"), line.alias("line"), F.inline(cells)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rows_sql(reports: dict[str, tuple[str, list[str]]]) -> str:
+    """The same of SQL statements: name -> statement, and its columns, the line's first."""
+    parts = []
+    for name, (sql, columns) in reports.items():
+        line, measures = ("''", columns) if name == "basic_info" else (f'CAST("{columns[0]}" AS VARCHAR)', columns[1:])
+        cells = ", ".join(f"{{'measure': '{m}', 'value': CAST(printf('%.11e', CAST(\"{m}\" AS DOUBLE)) AS DOUBLE)}}" for m in measures)
+        parts.append(f"SELECT '{name}' AS report, {line} AS line, UNNEST([{cells}], recursive := true) FROM ({sql})")
+    return " UNION ALL ".join(parts)
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,20 +50,18 @@ counts AS (SELECT "column", "value", count(*) AS n FROM long GROUP BY 1, 2)"""
 
 QUARTILES = {f"q{int(p * 100)}": f"round(quantile_cont(CAST({{c}} AS DOUBLE), {p}), 6) + 0.0" for p in (0.25, 0.5, 0.75)}
 
-HIST = ["PlotSize", "OfficeSpace", "TotalRooms", "BuildingGrade"]
-MI = ["UpperFloorArea", "PlotSize", "TotalRooms", "BuildingGrade", "GroundFloorArea", "ParkingSpots"]
 
 
 def mutual_sql(bins: int = 10) -> str:
     cuts = ", ".join(
-        f"list_distinct(quantile_cont(CAST(\"{c}\" AS DOUBLE), [{', '.join(f'{i}/{bins}.0e0' for i in range(1, bins))}])) AS \"{c}\"" for c in MI
+        f"list_distinct(quantile_cont(CAST(\"{c}\" AS DOUBLE), [{', '.join(f'{i}/{bins}.0e0' for i in range(1, bins))}])) AS \"{c}\"" for c in NUMERIC
     )
     binned = ", ".join(
-        f"CASE WHEN l.\"{c}\" IS NOT NULL THEN len(list_filter(q.\"{c}\", lambda e: CAST(l.\"{c}\" AS DOUBLE) > e)) END AS \"{c}\"" for c in MI
+        f"CASE WHEN l.\"{c}\" IS NOT NULL THEN len(list_filter(q.\"{c}\", lambda e: CAST(l.\"{c}\" AS DOUBLE) > e)) END AS \"{c}\"" for c in NUMERIC
     )
     return WITH + f""", cuts AS (SELECT {cuts} FROM listing),
 binned AS (SELECT l.{LABEL}, {binned} FROM listing l, cuts q),
-long AS ({melt_sql(MI, "VARCHAR", [LABEL], "binned")}),
+long AS ({melt_sql(NUMERIC, "VARCHAR", [LABEL], "binned")}),
 joint AS (SELECT "column", "value", {LABEL}, count(*) AS n FROM long GROUP BY ALL),
 sums AS (SELECT *, sum(n) OVER (PARTITION BY "column", "value") AS nv, sum(n) OVER (PARTITION BY "column", {LABEL}) AS ny,
  sum(n) OVER (PARTITION BY "column") AS total FROM joint)
@@ -88,24 +104,41 @@ MISSING_SQL = WITH + f""" SELECT "column", n_missing,
  WHERE n_missing > 0"""
 
 
+TARGET_SQL = WITH + f""" SELECT {LABEL}, count(*) AS n, {rs("count(*) * 100.0e0 / (SELECT count(*) FROM listing)", "pct")} FROM listing GROUP BY 1"""
+CARDINALITY_SQL = COUNTS + ' SELECT "column", count(*) AS n_distinct FROM counts GROUP BY 1'
+BASIC_SQL = WITH + f" SELECT count(*) AS n_rows, {len(NUMERIC + TEXT) + 2} AS n_columns, {len(NUMERIC) + 2} AS n_numeric, {len(TEXT)} AS n_categorical FROM listing"
+REPORT_BASIC = ["n_rows", "n_columns", "n_numeric", "n_categorical"]
+DESCRIBED = ["n", "mean", "std", "min", "max", "q25", "q50", "q75"]
+
+
+def describe_sql(columns: list[str]) -> str:
+    return WITH + " " + per_column_sql(columns, {
+        "n": "count({c})", "mean": "round(avg({c}), 6) + 0.0", "std": "round(stddev_samp({c}), 6) + 0.0",
+        "min": "round(min(CAST({c} AS DOUBLE)), 6) + 0.0", "max": "round(max(CAST({c} AS DOUBLE)), 6) + 0.0", **QUARTILES})
+
+
+def eda_sql() -> str:
+    return rows_sql({
+        "basic_info": (BASIC_SQL, REPORT_BASIC), "missing": (MISSING_SQL, ["column", "n_missing", "pct_missing"]), "target": (TARGET_SQL, [LABEL, "n", "pct"]),
+        "cardinality": (CARDINALITY_SQL, ["column", "n_distinct"]), "numeric": (describe_sql([KEY, *NUMERIC]), ["column", *DESCRIBED]),
+    })
+
+
 def entries() -> dict:
     label_gap = "abs(share_missing - share_present)"
     return {
         "missing_profile": (lambda s, d: rounded(P.missing_profile(listing(s, d))), MISSING_SQL),
         "quantiles_neighbouring_values": (neighbouring, CLOSE_SQL),
-        "target_distribution": (lambda s, d: rounded(P.target_distribution(listing(s, d), LABEL)), WITH + f""" SELECT {LABEL}, count(*) AS n,
- {rs("count(*) * 100.0e0 / (SELECT count(*) FROM listing)", "pct")} FROM listing GROUP BY 1"""),
+        "target_distribution": (lambda s, d: rounded(P.target_distribution(listing(s, d), LABEL)), TARGET_SQL),
         "class_prior": (lambda s, d: rounded(P.class_prior(listing(s, d), LABEL)), WITH + f""" SELECT {LABEL},
  {rs("CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM listing)", "prior")} FROM listing GROUP BY 1"""),
-        "cardinality": (lambda s, d: P.cardinality(listing(s, d), TEXT), COUNTS + ' SELECT "column", count(*) AS n_distinct FROM counts GROUP BY 1'),
-        "numeric_describe": (lambda s, d: rounded(P.numeric_describe(numeric_rows(s, d), NUMERIC)), WITH + " " + per_column_sql(NUMERIC, {
-            "n": "count({c})", "mean": "round(avg({c}), 6) + 0.0", "std": "round(stddev_samp({c}), 6) + 0.0",
-            "min": "round(min(CAST({c} AS DOUBLE)), 6) + 0.0", "max": "round(max(CAST({c} AS DOUBLE)), 6) + 0.0", **QUARTILES})),
+        "cardinality": (lambda s, d: P.cardinality(listing(s, d), TEXT), CARDINALITY_SQL),
+        "numeric_describe": (lambda s, d: rounded(P.numeric_describe(numeric_rows(s, d), NUMERIC)), describe_sql(NUMERIC)),
         "numeric_describe_events": (lambda s, d: rounded(P.numeric_describe(events(s, d), ["value"])), per_column_sql(["value"], {
             "n": "count({c})", "mean": "round(avg({c}), 6) + 0.0", "std": "round(stddev_samp({c}), 6) + 0.0",
             "min": "round(min({c}), 6) + 0.0", "max": "round(max({c}), 6) + 0.0", **QUARTILES}, "events")),
-        "basic_info": (lambda s, d: P.basic_info(listing(s, d)), WITH + f" SELECT count(*) AS n_rows, {len(NUMERIC + TEXT) + 2} AS n_columns, {len(NUMERIC) + 2} AS n_numeric, {len(TEXT)} AS n_categorical FROM listing"),
-        "eda_report": (lambda s, d: as_table(P.eda_report(listing(s, d), LABEL)), None),
+        "basic_info": (lambda s, d: P.basic_info(listing(s, d)), BASIC_SQL),
+        "eda_report": (lambda s, d: rounded(as_rows(P.eda_report(listing(s, d), LABEL))), eda_sql()),
         "value_shares": (lambda s, d: rounded(P.value_shares(listing(s, d), TEXT, 10)), COUNTS + """, placed AS (SELECT *,
  row_number() OVER (PARTITION BY "column" ORDER BY n DESC, "value" ASC NULLS FIRST) AS place, sum(n) OVER (PARTITION BY "column") AS total FROM counts)
  SELECT "column", "value", round(CAST(n AS DOUBLE) / total, 3) AS share, CAST(place AS INT) AS place FROM placed WHERE place <= 10"""),
@@ -119,7 +152,7 @@ def entries() -> dict:
  bool_or("value" IS NULL) OVER (PARTITION BY "column") AS has_null FROM counts)
  SELECT "column", "value" AS top_value, {rs("CAST(n AS DOUBLE) / total", "top_share")} FROM tops
  WHERE place = 1 AND has_null AND CAST(n AS DOUBLE) / total <= 0.6e0"""),
-        "histogram": (lambda s, d: P.histogram(listing(s, d), HIST, 10), WITH + f""", long AS ({melt_sql(HIST, "DOUBLE")}),
+        "histogram": (lambda s, d: P.histogram(listing(s, d), NUMERIC, 10), WITH + f""", long AS ({melt_sql(NUMERIC, "DOUBLE")}),
  span AS (SELECT "column" AS c, min("value") AS lo, (max("value") - min("value")) / 10 AS w FROM long GROUP BY 1)
  SELECT "column", CAST(least(floor(("value" - lo) / w), 9) AS INT) AS bin, count(*) AS n FROM long JOIN span ON "column" = c
  WHERE "value" IS NOT NULL GROUP BY 1, 2"""),
@@ -161,5 +194,5 @@ def entries() -> dict:
         "matrix_health": (lambda s, d: rounded(P.matrix_health(numeric_rows(s, d), NUMERIC)), WITH + f""", long AS ({melt_sql(NUMERIC, "DOUBLE")})
  SELECT count(*) // {len(NUMERIC)} AS n_rows, {len(NUMERIC)} AS n_columns, count(*) FILTER ("value" IS NULL) AS n_nan, count(*) FILTER (isinf("value")) AS n_inf,
  {rs('CAST(count(*) FILTER ("value" = 0) AS DOUBLE) / count(*)', "zero_share")} FROM long"""),
-        "mutual_information": (lambda s, d: rounded(P.mutual_information(numeric_rows(s, d, *MI), MI, LABEL)), mutual_sql()),
+        "mutual_information": (lambda s, d: rounded(P.mutual_information(numeric_rows(s, d), NUMERIC, LABEL)), mutual_sql()),
     }

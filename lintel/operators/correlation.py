@@ -1,20 +1,28 @@
 """Pairwise-complete Pearson correlation for many columns in one pass.
 
 Each task folds its Arrow batches into small moment matrices (one matrix product per moment) and
-emits one row per pair; the rest is a grouped sum. The row count after the map side depends on
-the number of columns, never on the table.
+emits them as one row, an array. These rows are added up in a tree, a bounded number of them at a time, and pairs are made of the
+last one. What is shuffled is a row a task, whatever the number of pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MOMENTS = "i int, j int, n double, a double, b double, aa double, bb double, ab double"
+#: Moments of a pair: rows with both, sums of each, of their squares and of their product.
+_MOMENTS = ("n", "a", "b", "aa", "bb", "ab")
+_ROW = "part bigint, moments array<double>"
+#: Tasks that a tree of merges is deep enough for.
+_TASKS = 1 << 20
+#: Bytes of moment rows that one task adds up at a time.
+_MERGED = 64 << 20
 
 
 def varying(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
@@ -56,15 +64,20 @@ def correlations(df: DataFrame, columns: list[str], against: list[str] | None =
             s += x.T @ known
             ss += (x * x).T @ known
             cross += x.T @ x
-        yield pd.DataFrame({
-            "i": left, "j": right, "n": n[left, right], "a": s[left, right], "b": s[right, left],
-            "aa": ss[left, right], "bb": ss[right, left], "ab": cross[left, right],
-        })
+        found = [n[left, right], s[left, right], s[right, left], ss[left, right], ss[right, left], cross[left, right]]
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "moments": [np.concatenate(found)]})
 
     wide = df.select([F.col(c).cast("double").alias(c) for c in names])
-    sums = wide.mapInPandas(fold, _MOMENTS).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")]
-    )
+    rows = wide.mapInPandas(fold, _ROW)
+    pairs = len(wanted)
+    fan = max(2, _MERGED // max(1, 8 * len(_MOMENTS) * pairs))
+    for _ in range(math.ceil(math.log(_TASKS, fan))):
+        rows = rows.groupBy((F.col("part") / fan).cast("bigint").alias("part")).applyInPandas(_added, _ROW)
+    ids = [F.array(*map(F.lit, map(int, side))) for side in (left, right)] if pairs else [F.array().cast("array<int>")] * 2
+    parts = [F.slice("moments", i * pairs + 1, pairs).alias(m) for i, m in enumerate(_MOMENTS)] if pairs else []
+    sums = rows.select(F.inline(F.arrays_zip(ids[0].alias("i"), ids[1].alias("j"), *parts)))
+    if not pairs:
+        sums = sums.select("*", *[F.lit(0.0).alias(m) for m in _MOMENTS])
     va = F.col("aa") - F.col("a") * F.col("a") / F.col("n")
     vb = F.col("bb") - F.col("b") * F.col("b") / F.col("n")
     tiny = F.col("n") * 1e-12
@@ -79,6 +92,11 @@ def correlations(df: DataFrame, columns: list[str], against: list[str] | None =
     ).where("correlation IS NOT NULL")
 
 
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    """The sum of moment rows, under the smallest number of theirs."""
+    return pd.DataFrame({"part": [rows["part"].min()], "moments": [np.sum(np.stack(rows["moments"].to_numpy()), axis=0)]})
+
+
 def redundant_pairs(df: DataFrame, columns: list[str], threshold: float = 0.95) -> DataFrame:
     """Pairs whose absolute correlation is above the threshold."""
     return correlations(df, columns).where(F.abs(F.col("correlation")) > threshold)

@@ -25,14 +25,17 @@ from pyspark.sql import types as T
 from lintel.operators.state import State, lookup
 from lintel.session import cut
 
+#: Donors a cell, while the cells are few enough; donors and query rows that a task compares at a time.
+CELL = 512
 BLOCK = 4_096
 QUERY_BLOCK = 8_192
 #: The tree and its sample go to every executor: at most so many cells and sampled rows, and so many bytes of each.
 MOST_CELLS = 1 << 16
 MOST_SAMPLE = 1 << 18
 MOST_BYTES = 64 << 20
-#: Sampled rows a cell, and sampled rows that a first bound is looked for among.
+#: Sampled rows a cell, sampled rows at least, and sampled rows that a first bound is looked for among.
 SAMPLE = 16
+LEAST_SAMPLE = 1 << 16
 NEAR_ROWS = 512
 #: From so many coordinates on, without missing values, boxes are on the first AXES principal axes.
 ROTATE_FROM, AXES = 12, 16
@@ -93,7 +96,11 @@ def _sides(
     queries: DataFrame, donors: DataFrame, key: str, row: str, coords: list[str], targets: dict[str, Column], needs: dict[str, Column] | None,
     exclude_self: bool,
 ) -> tuple[DataFrame, DataFrame]:
-    """Donors (dn, dk, coordinates, targets, dh) and query rows that want something (qk, self, coordinates, want), under internal names."""
+    """Donors (dn, dk, coordinates, targets, dh) and query rows (qk, self, coordinates, want), under internal names.
+
+    Rows that want nothing are sent nowhere. They are not filtered out here: a condition on so many columns, which are renamed above it, makes the
+    optimizer keep a constraint for every subset of the names.
+    """
     names = list(targets)
     kind = donors.schema[key].dataType
     stand_in = F.lit("0").cast(kind) if isinstance(kind, (T.NumericType, T.StringType)) else F.lit(None).cast(kind)
@@ -105,7 +112,7 @@ def _sides(
     own = F.coalesce(F.col(key), stand_in) if exclude_self else F.lit(None).cast(kind)
     asks = queries.select(
         F.col(row).alias("qk"), own.alias("self"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(coords)], F.array(*wants).alias("want"),
-    ).where(F.exists("want", lambda w: w))
+    )
     return values.withColumn("dh", F.xxhash64(*values.columns)), asks
 
 
@@ -165,11 +172,11 @@ def _plant(rows: DataFrame, x: list[str], t: list[str], block: int) -> Tree | No
         return None
     d = len(x)
     most = min(MOST_CELLS, MOST_BYTES // (72 * d))
-    cells = min(most, math.ceil(counted.n / block))
+    cells = min(most, math.ceil(counted.n / min(block, CELL)))
     if cells == 1:
         one, none = np.zeros(1, np.int64), np.full(1, -1, np.int64)
         return Tree(one, np.zeros(1), none, none, none, one, np.zeros(1, bool), one, one, np.empty((0, d)), np.empty((0, len(t)), bool), np.empty(0))
-    wanted = min(SAMPLE * cells, MOST_SAMPLE, MOST_BYTES // (8 * (d + len(t) + 1)))
+    wanted = min(max(LEAST_SAMPLE, SAMPLE * cells), MOST_SAMPLE, MOST_BYTES // (8 * (d + len(t) + 1)))
     share = F.pmod("dh", F.lit(1 << 30)) < min(1 << 30, int((1 << 30) * 1.1 * wanted / counted.n) + 1)
     # equal rows share a hash: those beyond the wanted number are left out, as a sample of any kind will do
     sample = (rows if counted.n <= wanted else rows.where(share)).select("dk", "dn", *x, *t).limit(2 * wanted).toPandas()
@@ -331,8 +338,8 @@ class Router:
         some = ever.sum(1)
         return np.where(some > 0, total * self.dims / np.maximum(some, 1), np.inf)
 
-    def route(self, q: np.ndarray, own: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) pairs that cannot be ruled out."""
+    def route(self, q: np.ndarray, own: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell) pairs that cannot be ruled out, and for rows by targets the squared distance beyond which no donor counts."""
         tree = self.tree
         bound = self.first_bounds(q, own, want)
         # bounds and distances round differently: leave a little room
@@ -355,42 +362,46 @@ class Router:
                 further += [(r[~leaf], tree.left[node[~leaf]]), (r[~leaf], tree.right[node[~leaf]])]
             rows, nodes = (np.concatenate(c) for c in zip(*further, strict=True))
         pairs = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 2
-        return pairs[0], pairs[1]
+        return pairs[0], pairs[1], limit
 
 
 def squared(q: np.ndarray, x: np.ndarray, dims: int) -> np.ndarray:
     """Squared distances, rows of q by rows of x, over shared coordinates and scaled up; infinite without any."""
-    if not (np.isnan(q).any() or np.isnan(x).any()):
-        total = np.zeros((len(q), len(x)))
-        for i in range(dims):
-            gap = q[:, i][:, None] - x[:, i][None, :]
-            total += gap * gap
-        return total
-    total, shared = np.zeros((len(q), len(x))), np.zeros((len(q), len(x)))
+    gaps = np.isnan(q).any(0) | np.isnan(x).any(0)
+    total = np.zeros((len(q), len(x)))
+    shared: np.ndarray | int = 0
     for i in range(dims):
         gap = q[:, i][:, None] - x[:, i][None, :]
-        known = ~np.isnan(gap)
-        total += np.where(known, gap * gap, 0.0)
-        shared += known
+        np.multiply(gap, gap, out=gap)
+        if gaps[i]:
+            known = ~np.isnan(gap)
+            gap[~known] = 0.0
+            shared = shared + known
+        else:
+            shared = shared + 1
+        total += gap
+    if not gaps.any():
+        return total
     return np.where(shared > 0, total * dims / np.maximum(shared, 1), np.inf)
 
 
 def _routed(asks: DataFrame, tree: Tree, boxes: pd.DataFrame, x: list[str], targets: int, k: int, exclude_self: bool) -> DataFrame:
     """Query rows copied to the cells they must look into; written once, as it is counted and then joined."""
     if tree.cells == 1:
-        return asks.withColumn("cell", F.lit(0))
+        return asks.withColumns({"far": F.lit(None).cast("array<double>"), "cell": F.lit(0)})
     sent = asks.sparkSession.sparkContext.broadcast(Router(tree, boxes, len(x), targets, k, exclude_self))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             q = batch[x].to_numpy(float, na_value=np.nan)
             want = np.array(batch["want"].tolist(), dtype=bool).reshape(len(batch), targets)
-            i, cell = sent.value.route(q, batch["self"].to_numpy(), want)
+            i, cell, far = sent.value.route(q, batch["self"].to_numpy(), want)
+            bounded = batch.assign(far=list(far))
             for at in range(0, len(i), _PAIRS):
-                yield batch.iloc[i[at : at + _PAIRS]].assign(cell=cell[at : at + _PAIRS].astype(np.int32))
+                yield bounded.iloc[i[at : at + _PAIRS]].assign(cell=cell[at : at + _PAIRS].astype(np.int32))
 
     kinds = {f.name: f.dataType.simpleString() for f in asks.schema}
-    schema = f"qk {kinds['qk']}, self {kinds['self']}, {', '.join(f'{c} double' for c in x)}, want array<boolean>, cell int"
+    schema = f"qk {kinds['qk']}, self {kinds['self']}, {', '.join(f'{c} double' for c in x)}, want array<boolean>, far array<double>, cell int"
     return cut(asks.mapInPandas(route, schema))
 
 
@@ -404,7 +415,7 @@ def _blocks(routed: DataFrame, placed: DataFrame, boxes: pd.DataFrame, x: list[s
     table = State.of(routed.sparkSession.createDataFrame(layout, "cell int, parts int, slots int"), bound=4 * MOST_CELLS)
     on = {"cell": "cell"}
     ask_blocks = lookup(routed, table, on).select(
-        "qk", "self", *x, "want", "cell",
+        "qk", "self", *x, "want", "far", "cell",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.pmod(F.xxhash64("qk"), F.col("slots")).cast("int").alias("slot"),
     )
@@ -432,15 +443,22 @@ def _search(
                 part = left.iloc[at : at + _STEP]
                 qx = part[x].to_numpy(dtype=float, na_value=np.nan)
                 want = np.array(part["want"].tolist(), dtype=bool).reshape(len(part), len(names))
-                dist = np.sqrt(squared(qx, dx, d))
+                dist = squared(qx, dx, d)
+                bounds = part["far"].to_numpy()
+                far = np.full(want.shape, np.inf) if bounds[0] is None else np.stack(bounds)
                 if exclude_self:
                     dist[part["self"].to_numpy()[:, None] == donor_keys[None, :]] = np.inf
                 for t in range(len(names)):
                     asking = np.nonzero(want[:, t])[0]
                     if not len(asking):
                         continue
-                    usable = np.where(np.isnan(values[:, t])[None, :], np.inf, dist[asking])
-                    picked, order = _smallest(usable, k)
+                    near = dist[asking]
+                    near = np.where(np.isnan(values[:, t])[None, :] | (near > far[asking, t][:, None]), np.inf, near)
+                    some = np.isfinite(near).any(1)
+                    asking, near = asking[some], near[some]
+                    if not len(asking):
+                        continue
+                    picked, order = _smallest(np.sqrt(near), k)
                     i, j = np.nonzero(np.isfinite(picked))
                     at_donor = order[i, j]
                     found.append(pd.DataFrame({

@@ -1,12 +1,13 @@
-"""Exact quantiles by counting, without a per-value map or a sketch in one task.
-
-Spark's `percentile` keeps every distinct value of a group in one buffer, and a sketch of every
-task ends in one reducer. Here a wanted rank is closed in on by counts: rows per equal-width slice
-of a column's range, then of the slice that holds the rank, until few rows are left, whose values
-are then counted one by one. Each pass is a hash aggregation that combines on the map side and
-whose result is bounded by columns x slices, so a large group or a heavy value is no problem.
-A range shrinks by the number of slices per pass: three passes for smooth data, and one or two
-more where far outliers stretch the range.
+"""Exact quantiles by counting, from brackets that sketches give on large tables.
+
+Spark's `percentile` keeps every distinct value of a group in one buffer. Here a wanted rank is closed in on by counts: rows per
+equal-width slice of a column's range, then of the slice that holds the rank, until few rows are left, whose values are then counted one
+by one. Each pass is a hash aggregation that combines on the map side and whose result is bounded, so a large group or a heavy value is no
+problem. Smooth data take three scans; far outliers, which stretch the range, one or two more.
+
+A large table does not start from its range but from a narrow bracket around each rank, which mergeable KLL sketches (one a task and
+column, merged in a tree) give in one scan whatever the values are; then one or two passes of counts inside the brackets are left. A sketch may miss
+a rank, though rarely: the counts show it, and the search goes on where the rank is. On small tables a sketch costs more than it saves.
 """
 
 from __future__ import annotations
@@ -19,7 +20,12 @@ from pyspark.sql import functions as F
 
 from lintel.operators.state import State, lookup
 
-MAX_CANDIDATES = 100_000
+#: Lines that a pass of counting may bring to the driver.
+MAX_CANDIDATES = 400_000
+#: Rows from which on sketches are made.
+SKETCH_FROM = 50_000_000
+#: Size of a sketch, the share of rows to either side of a rank that its bracket takes in (several times the sketch's error), and tasks a first merge.
+SKETCH, MARGIN, MERGED = 8_192, 0.003, 256
 MAX_SLICES = 2_048
 GROUP_SLICES = 256
 
@@ -35,22 +41,17 @@ def column_quantiles(
     names = dict.fromkeys(columns)
     if not names:
         return {}
-    spans = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"), F.min(F.col(c).cast("double")).alias("lo"), F.max(F.col(c).cast("double")).alias("hi")
-            ).alias(f"s{i}")
-            for i, c in enumerate(names)
-        ]
-    ).first()
-    sizes = {c: spans[f"s{i}"].n for i, c in enumerate(names)}
+    spans = _spans(df, list(names), [])
+    if slices is None and max(span["n"] for span in spans.values()) >= SKETCH_FROM:
+        spans = _spans(df, list(names), probs)
+    sizes = {c: span["n"] for c, span in spans.items()}
     done: dict[str, list[float | None]] = {c: [None] * len(probs) for c in names if not sizes[c]}
     ranges: dict[str, list[Range]] = {}
     inside: dict[str, int] = {}
-    for i, c in enumerate(names):
+    for c, span in spans.items():
         if sizes[c]:
-            span = spans[f"s{i}"]
-            ranges[c], inside[c] = [(span.lo, span.hi)], sizes[c]
+            ranges[c] = _merge(span["brackets"] or [(span["lo"], span["hi"])])
+            inside[c] = math.ceil(sizes[c] * min(1.0, 2 * MARGIN * len(probs))) if span["brackets"] else sizes[c]
     while ranges:
         total = sum(len(r) for r in ranges.values())
         by_value = sum(inside[c] for c in ranges) <= most
@@ -67,6 +68,35 @@ def column_quantiles(
     return {c: done[c] for c in columns}
 
 
+def _spans(df: DataFrame, names: list[str], probs: list[float]) -> dict[str, dict]:
+    """Per column the rows that are not null, the range, and (given probs) a bracket of values around each wanted rank; one pass."""
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    cells = range(len(names))
+    sketches = [F.kll_sketch_agg_double(f"v{i}", SKETCH).alias(f"k{i}") for i in cells] if probs else []
+    counts = [f(f"v{i}").alias(f"{p}{i}") for i in cells for p, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    if probs:
+        ends = F.array(*[F.lit(float(e)) for p in probs for e in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))])
+        # a sketch a task, merged by neighbouring tasks and then of these; a sketch of nothing has no quantiles
+        some = values.groupBy((F.spark_partition_id() / MERGED).cast("int").alias("tasks")).agg(*counts, *sketches)
+        merged = [F.kll_merge_agg_double(F.when(F.col(f"n{i}") > 0, F.col(f"k{i}"))).alias(f"k{i}") for i in cells]
+        summed = [f(f"{p}{i}").alias(f"{p}{i}") for i in cells for p, f in (("n", F.sum), ("lo", F.min), ("hi", F.max))]
+        read = [F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"k{i}", ends)).alias(f"q{i}") for i in cells]
+        level = some.agg(*summed, *merged).select("*", *read).drop(*[f"k{i}" for i in cells])
+    else:
+        level = values.agg(*counts)
+    row = level.first()
+    found = {}
+    for i, c in enumerate(names):
+        n, lo, hi = (row[f"{p}{i}"] if row else None for p in ("n", "lo", "hi"))
+        brackets: list[Range] = []
+        if n and probs:
+            for j, p in enumerate(probs):
+                a, b = row[f"q{i}"][2 * j : 2 * j + 2]
+                brackets.append((lo if p - MARGIN <= 0 else a, hi if p + MARGIN >= 1 else b))
+        found[c] = {"n": n or 0, "lo": lo, "hi": hi, "brackets": brackets}
+    return found
+
+
 def _merge(ranges: list[Range]) -> list[Range]:
     """Disjoint ranges in ascending order."""
     merged: list[Range] = []

@@ -1,21 +1,22 @@
 """The whole feature table: every branch side by side, in one plan.
 
-Fitting takes a handful of aggregations, whatever the number of columns: the column statistics,
-and one grouped pass that gives each value of each key column its frequency, its class
-probabilities and its group statistics. Applying is one projection plus one join per key column.
+Fitting takes a handful of aggregations, whatever the number of columns: one for all that is asked of whole columns, the search for
+medians, and one grouped pass that gives each value of each key column its frequency, its class
+probabilities and its group statistics; what does not depend on each other runs side by side. Applying is one projection plus one join per key column.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from lintel.functions.derived import DERIVED, INPUTS, add_derived, fit_plot_edges
-from lintel.functions.nullsafe import blank_or_null_flag, log1p_clip, to_category
-from lintel.operators.clean import columns_with_nulls
+from lintel.functions.derived import DERIVED, INPUTS, PLOT_BINS, add_derived
+from lintel.functions.nullsafe import blank_or_null_flag, equal_width_edges, log1p_clip, to_category, to_num
 from lintel.operators.encode import MAX_ONE_HOT, OneHot, class_counts, fit_one_hot, label_classes, smoothed
 from lintel.operators.groups import relative_to_group
 from lintel.operators.neighbours import knn_fill
@@ -191,18 +192,33 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
     # read several times below; recomputed where an executor is lost
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        plot_edges = fit_plot_edges(df) if derived else None
+        counted = _counted(df, numeric, log, label, classes, bool(derived))
+        plot_edges = equal_width_edges(counted.plot_lo, counted.plot_hi, PLOT_BINS) if derived and counted.plot_lo is not None else None
         # made as apply() makes them, whether or not the input has some of its own
         need = DERIVED if derived else sorted(grouped, key=DERIVED.index)
         made = add_derived(df, need, plot_edges) if need else df
-        # one search for the medians of raw and derived columns, where names do not clash
-        raw = [c for c in numeric if c not in derived] if config.impute == "median" else []
-        mids = {c: q[0] for c, q in column_quantiles(made, [*raw, *derived], [0.5]).items()}
-        medians, flags, scale = _numeric_fit(df, numeric, log, config, {c: mids[c] for c in raw})
+        # one search for the medians of raw and derived columns; where names clash, the raw ones are searched apart
+        by_median = config.impute == "median"
+        raw = [c for c in numeric if c not in derived] if by_median else []
+
+        def middles() -> dict[str, float | None]:
+            found = {c: q[0] for c, q in column_quantiles(made, [*raw, *derived], [0.5]).items()}
+            rest = [c for c in numeric if c in derived] if by_median else []
+            return found | {f"__own_{c}": q[0] for c, q in column_quantiles(df, rest, [0.5]).items()}
+
+        def keyed_parts() -> tuple[dict[str, State], list[float], dict]:
+            states, prior = _keyed_fit(made, keyed, grouped, label, classes, config.alpha, counted)
+            return states, prior, _group_medians(made, groups, grouped, states)
+
+        def one_hot_part() -> OneHot:
+            return fit_one_hot(df, one_hot_columns, config.most_one_hot) if one_hot_columns else OneHot({"values": {}, "wide": {}})
+
+        # the branches need nothing of each other: their jobs and the planning of these overlap
+        with ThreadPool(3) as pool:
+            waiting = [pool.apply_async(part) for part in (keyed_parts, middles, one_hot_part)]
+            (states, prior, group_medians), mids, hot = (part.get() for part in waiting)
+        medians, flags, scale = _numeric_fit(df, numeric, log, config, {c: mids.get(f"__own_{c}", mids.get(c)) for c in numeric}, counted)
         derived_medians = {c: mids[c] for c in derived}
-        states, prior = _keyed_fit(made, keyed, grouped, label, classes, config.alpha)
-        group_medians = _group_medians(made, groups, grouped, states)
-        hot = fit_one_hot(df, one_hot_columns, config.most_one_hot) if one_hot_columns else OneHot({"values": {}, "wide": {}})
         states.update({f"hot_{c}": state for c, state in hot.states.items()})
     finally:
         df.unpersist()
@@ -220,28 +236,54 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
     )
 
 
+def _counted(df: DataFrame, numeric: list[str], log: list[str], label: str, classes: list, plot: bool) -> Row:
+    """What the branches of the fit need of whole columns, in one aggregation: rows, class sizes, the range of plot sizes, and count, mean and
+    variance of every numeric column (of its logarithm, where it is to be logged).
+    """
+    value = {c: log1p_clip(F.col(c).cast("double")) if c in log else F.col(c).cast("double") for c in numeric}
+    parts = [F.count("*").alias("n"), F.count(label).alias("labelled"), *class_counts(label, classes)]
+    parts += [f(v).alias(f"{p}_{i}") for i, v in enumerate(value.values()) for p, f in (("c", F.count), ("m", F.avg), ("v", F.var_pop))]
+    if plot:
+        size = to_num(df, "PlotSize")
+        parts += [F.min(size).alias("plot_lo"), F.max(size).alias("plot_hi")]
+    return df.agg(*parts).first()
+
+
+def _filled_moments(counted: Row, i: int, fill: float | None) -> tuple[float | None, float | None]:
+    """Mean and population deviation of column i after its nulls are filled: those of the values and of the fill, put together."""
+    n, mean, variance = counted[f"c_{i}"], counted[f"m_{i}"], counted[f"v_{i}"]
+    gone = counted.n - n
+    if not n or fill is None:
+        return mean, None
+    whole = (n * mean + gone * fill) / counted.n
+    return whole, math.sqrt((n * (variance + (mean - whole) ** 2) + gone * (fill - whole) ** 2) / counted.n)
+
+
 def _numeric_fit(
-    df: DataFrame, numeric: list[str], log: list[str], config: FeatureConfig, medians: dict[str, float | None]
+    df: DataFrame, numeric: list[str], log: list[str], config: FeatureConfig, mids: dict[str, float | None], counted: Row
 ) -> tuple[dict, list[str], dict]:
     """Medians, flagged columns, and centre and spread of the imputed (and logged) columns.
 
-    Quartiles survive filling with the median and a monotone logarithm only up to interpolation,
-    so the robust scale is measured on the filled columns themselves.
+    Mean and deviation after filling follow from those before it. Quartiles survive filling with the median and a monotone logarithm only
+    up to interpolation, so the robust scale is measured on the filled columns themselves, as is any after neighbours filled them.
     """
     if not numeric:
         return {}, [], {}
+    robust = config.model in ROBUST_MODELS
     if config.impute == "knn":
         filled = knn_fill(df, df, config.key, numeric, config.neighbours)
         medians, flags = {}, numeric
         columns = [F.col(f"__knn_{c}").alias(c) for c in numeric]
     else:
-        rest = [c for c in numeric if c not in medians]
-        medians = {**medians, **{c: q[0] for c, q in column_quantiles(df, rest, [0.5]).items()}}
-        flags = columns_with_nulls(df, numeric)
+        medians, flags = mids, [c for i, c in enumerate(numeric) if counted[f"c_{i}"] < counted.n]
+        if not robust:
+            fills = {c: math.log1p(max(m, 0.0)) if m is not None and c in log else m for c, m in mids.items()}
+            moments = [_filled_moments(counted, i, fills[c]) for i, c in enumerate(numeric)]
+            return medians, flags, {c: [centre or 0.0, spread or 1.0] for c, (centre, spread) in zip(numeric, moments, strict=True)}
         filled = df
         columns = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in numeric]
     ready = filled.select(columns).select([log1p_clip(F.col(c)).alias(c) if c in log else F.col(c) for c in numeric])
-    if config.model in ROBUST_MODELS:
+    if robust:
         quartiles = column_quantiles(ready, numeric, [0.25, 0.5, 0.75])
         scale = {c: [q[1] or 0.0, (q[2] - q[0] if q[2] is not None else 0.0) or 1.0] for c, q in quartiles.items()}
     else:
@@ -254,12 +296,11 @@ def _numeric_fit(
 
 
 def _keyed_fit(
-    made: DataFrame, keyed: list[str], grouped: list[str], label: str, classes: list[int], alpha: float
+    made: DataFrame, keyed: list[str], grouped: list[str], label: str, classes: list[int], alpha: float, sizes: Row
 ) -> tuple[dict[str, State], list[float]]:
     """Frequency, smoothed class probabilities and group mean and std per value of each key column."""
     if not keyed:
         return {}, []
-    sizes = made.agg(F.count("*").alias("n"), F.count(label).alias("labelled"), *class_counts(label, classes)).first()
     prior = [sizes[f"n{i}"] / (sizes.labelled or 1) for i in range(len(classes))]
     slim = made.select(label, *grouped, *[to_category(c).alias(c) for c in keyed])
     counts = melt(slim, keyed, "string", [label, *grouped]).groupBy("column", "value").agg(

@@ -8,6 +8,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from lintel.operators import audit, encode, neighbours, ranking
+from lintel.operators import quantiles as Q
 from lintel.operators import state as S
 from lintel.operators.quantiles import column_quantiles, group_quantiles
 from lintel.sources.listing import KEY, LABEL, NUMERIC, listing, numeric_rows
@@ -23,6 +24,22 @@ def test_quantiles_narrowed(spark):
             assert got[c] == pytest.approx(list(want[c]), rel=1e-12), c
 
 
+def test_quantiles_from_sketches(spark, monkeypatch):
+    """Brackets that hold the ranks, and brackets of a sketch so coarse that it misses some: both end at the exact values."""
+    rows = numeric_rows(spark, SMALL).withColumns({
+        "wild": F.when(F.col(KEY) % 100 == 0, 1e12).otherwise(F.col("PlotSize")), "gone": F.lit(None).cast("double"), "flat": F.lit(7.0),
+    })
+    columns, probs = [*NUMERIC, "wild", "gone", "flat"], [0.0, 0.1, 0.5, 0.999, 1.0]
+    want = rows.agg(*[F.percentile(c, probs).alias(c) for c in columns]).first()
+    monkeypatch.setattr(Q, "SKETCH_FROM", 0)
+    for sketch, margin, merged, most in ((8192, 0.003, 256, 100_000), (8192, 0.003, 1, 300), (8, 0.001, 2, 2_000)):
+        for name, value in (("SKETCH", sketch), ("MARGIN", margin), ("MERGED", merged)):
+            monkeypatch.setattr(Q, name, value)
+        got = column_quantiles(rows.repartition(5), columns, probs, most)
+        for c in columns:
+            assert got[c] == ([None] * 5 if c == "gone" else pytest.approx(want[c], rel=1e-12)), (c, sketch)
+
+
 def test_quantiles_of_nothing_and_of_one_value(spark):
     df = spark.createDataFrame([(None, 5.0), (None, 5.0)], "a double, b double")
     assert column_quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [5.0]}
