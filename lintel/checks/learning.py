@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lintel.checks.common import KEY, LABEL, WITH, rounded, rs
 from lintel.checks.derived_columns import BASE, catalogue
-from lintel.checks.profiles import MISSING_SQL
+from lintel.checks.profiles import MISSING_SQL, PAIRS
 from lintel.checks.tables import RANKED, scratch
 from lintel.functions.derived import DERIVED
 from lintel.operators import clean, encode, evaluate, ranking, scale
@@ -272,10 +272,10 @@ def saved_learners(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tuned(spark: SparkSession, sf: str) -> DataFrame:
-    """Three drawn candidates on two folds of the whole feature table; trials by falling accuracy."""
-    folds = jobs.fold_tables(listing(spark, sf), config(), 2)
+    """Four drawn candidates on five folds of the whole feature table; trials by falling accuracy."""
+    folds = jobs.fold_tables(listing(spark, sf), config(), 5)
     space = {"numTrees": (3, 6), "maxDepth": [3, 5]}
-    best, trials = search.param_search(spark, folds, lambda p: models.random_forest(p, LABEL), search.draw(space, 3), LABEL)
+    best, trials = search.param_search(spark, folds, lambda p: models.random_forest(p, LABEL), search.draw(space, 4), LABEL)
     top = F.first("params").over(W.partitionBy(F.lit(0)).orderBy(F.desc("mean_accuracy"), "trial"))
     return trials.select(
         "trial", F.col("mean_accuracy").between(0, 1).alias("in_range"), (top == json.dumps(best, sort_keys=True)).alias("best_first")
@@ -337,24 +337,35 @@ def rfe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit(spark: SparkSession, sf: str) -> DataFrame:
-    """All numeric columns of the whole feature table through every report: a line per feature, column, or set."""
+    """All numeric columns of the whole feature table through every report, five permutations each: a line per feature, column, pair or set, and
+    whether its values are such as they must be. Which pairs correlate is a result that SQL states as well.
+    """
     rows = listing(spark, sf)
     split = ranking.stratified_split(rows, LABEL, KEY)
     trained = jobs.train_job(rows, config(), forest())
-    reports = jobs.audit_job(trained, split.where("is_valid = 0"), split.where("is_valid = 1"), NUMERIC, 1, 0.6)
-    lines = [
-        reports["feature_importance"].select(F.lit("feature_importance").alias("report"), F.col("feature").alias("line")).where(F.col("line").isin(NUMERIC)),
-        reports["permutation_importance"].select(F.lit("permutation_importance"), "feature"),
-        reports["adversarial_validation"].select(F.lit("adversarial_validation"), F.lit("auc")),
-        reports["high_correlations"].select(F.lit("high_correlations"), F.lit("pairs")).distinct(),
-    ]
-    return reduce(DataFrame.union, lines)
+    reports = jobs.audit_job(trained, split.where("is_valid = 0"), split.where("is_valid = 1"), NUMERIC, 5, 0.6)
+    level = F.when(F.col("auc") < 0.55, "none").when(F.col("auc") < 0.65, "mild").when(F.col("auc") < 0.75, "moderate").otherwise("high")
+    told = {
+        "feature_importance": (F.col("feature"), F.col("importance").between(0, 1)),
+        "permutation_importance": (F.col("feature"), F.col("importance_mean").between(-1, 1) & (F.col("importance_std") >= 0)),
+        "adversarial_validation": (F.lit("auc"), F.col("auc").between(0, 1) & (F.col("drift") == level)),
+        "high_correlations": (F.concat_ws(" ~ ", "feature1", "feature2"), F.abs("correlation").between(0.6, 1)),
+    }
+    lines = [reports[name].select(F.lit(name).alias("report"), line.alias("line"), holds.alias("holds")) for name, (line, holds) in told.items()]
+    out = reduce(DataFrame.union, lines)
+    return out.where((F.col("report") != "feature_importance") | F.col("line").isin(NUMERIC))
 
 
-AUDIT_SQL = " UNION ALL ".join(
-    [f"SELECT '{r}' AS report, UNNEST({NUMERIC}) AS line" for r in ("feature_importance", "permutation_importance")]
-    + ["SELECT 'adversarial_validation', 'auc' UNION ALL SELECT 'high_correlations', 'pairs'"]
-)
+def audit_sql() -> str:
+    def filled(c: str) -> str:
+        value = f'coalesce(CAST("{c}" AS DOUBLE), (SELECT quantile_cont(CAST("{c}" AS DOUBLE), 0.5) FROM fitted))'
+        return f'ln(1 + greatest({value}, 0)) AS "{c}"' if c == "PlotSize" else f'{value} AS "{c}"'
+
+    pairs = ", ".join(f"{{'line': '{a} ~ {b}', 'c': corr(\"{a}\", \"{b}\")}}" for a, b in PAIRS)
+    names = " UNION ALL ".join(f"SELECT '{r}' AS report, UNNEST({NUMERIC}) AS line, true AS holds" for r in ("feature_importance", "permutation_importance"))
+    return f"""{VALID}, fitted AS (SELECT * FROM listing WHERE {KEY} IN (SELECT {KEY} FROM train)),
+ filled AS (SELECT {", ".join(map(filled, NUMERIC))} FROM fitted), pairs AS (SELECT UNNEST([{pairs}], recursive := true) FROM filled)
+ {names} UNION ALL SELECT 'adversarial_validation', 'auc', true UNION ALL SELECT 'high_correlations', line, true FROM pairs WHERE abs(c) > 0.6e0"""
 
 
 def evaluate_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -429,7 +440,7 @@ def entries() -> dict:
         "voting_hard": (voting(False), facts_sql("voting_hard")),
         "out_of_fold": (out_of_fold, f"{VALID} SELECT count(*) AS n_rows, count(*) AS n_keys, count(*) AS n_sum_one FROM train"),
         "model_pool": (pool, f"{VALID} {pooled}"),
-        "param_search": (tuned, "SELECT CAST(UNNEST(range(3)) AS INT) AS trial, true AS in_range, true AS best_first"),
+        "param_search": (tuned, "SELECT CAST(UNNEST(range(4)) AS INT) AS trial, true AS in_range, true AS best_first"),
         "train_job": (train_job, "SELECT UNNEST(['train', 'valid']) AS set, true AS in_range, true AS above_majority"),
         "cv_job": (cv_job, CV_SQL),
         "predict_job": (predict_job, PREDICT_SQL),
@@ -438,7 +449,7 @@ def entries() -> dict:
         "adversarial_validation": (adversarial, "SELECT true AS in_range, true AS level_fits"),
         "drift_weights": (drift_weights, f"{WITH} SELECT {KEY}, true AS in_range FROM listing WHERE YearListed < 1997"),
         "rfe": (rfe, "SELECT 5 AS n, 5 AS n_distinct, true AS known"),
-        "audit_job": (audit, AUDIT_SQL),
+        "audit_job": (audit, audit_sql()),
         "evaluate_job": (evaluate_job, "SELECT UNNEST(['train', 'valid']) AS set, true AS accuracy, true AS precision, true AS recall, true AS f1"),
         "save_load_fitted": (saved_state, WITH + f" SELECT {KEY}, {SHARES} FROM listing"),
         "write_report": (report, MISSING_SQL),

@@ -12,6 +12,7 @@ from lintel.functions.derived import ensure_derived
 from lintel.functions.nullsafe import blank_or_null_flag, missing_flag, to_category, to_num
 from lintel.operators import ranking, schema
 from lintel.operators.state import State, lookup
+from lintel.plans.features import DROP_POLICIES
 from lintel.session import ensure_checkpoint_dir
 from lintel.sources import tables as src
 from lintel.sources.listing import NUMERIC, TEXT, listing, table
@@ -189,6 +190,10 @@ def entries() -> dict:
  CASE WHEN kind = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS kind
  FROM (SELECT UNNEST([{", ".join("{'column': '%s', 'kind': typeof(%s)}" % (c, c) for c in [KEY, *NUMERIC, *TEXT])}], recursive := true)
  FROM (SELECT * FROM listing ORDER BY {KEY} LIMIT 1))"""),
+        "drop_policy_long": (
+            lambda s, d: schema.drop_policy_columns(listing(s, d), DROP_POLICIES["long"], [KEY, LABEL]),
+            WITH + " SELECT " + ls([c for c in [KEY, LABEL, *NUMERIC, *TEXT] if c not in DROP_POLICIES["long"]]) + " FROM listing",
+        ),
         "drop_policy_columns": (
             lambda s, d: rounded(schema.drop_policy_columns(listing(s, d), [*TEXT, "PlotSize", *NUMERIC[12:]], [KEY, LABEL])),
             WITH + f""" SELECT {KEY}, {LABEL}, {", ".join(rs(c, c) if c.endswith("Area") or c == "OfficeSpace" else c for c in NUMERIC[:11])} FROM listing"""),

