@@ -412,14 +412,18 @@ def _blocks(routed: DataFrame, placed: DataFrame, boxes: pd.DataFrame, x: list[s
         (int(c), math.ceil(n / block), math.ceil(busy.get(c, 0) / QUERY_BLOCK))
         for c, n in zip(boxes["cell"], boxes["n"], strict=True)
     ]
-    table = State.of(routed.sparkSession.createDataFrame(layout, "cell int, parts int, slots int"), bound=4 * MOST_CELLS)
-    on = {"cell": "cell"}
-    ask_blocks = lookup(routed, table, on).select(
+    if len(layout) == 1:  # nothing to look up
+        _, parts, slots = layout[0]
+        numbered = [side.withColumns({"parts": F.lit(parts), "slots": F.lit(slots)}) for side in (routed, placed)]
+    else:
+        table = State.of(routed.sparkSession.createDataFrame(layout, "cell int, parts int, slots int"), bound=4 * MOST_CELLS)
+        numbered = [lookup(side, table, {"cell": "cell"}) for side in (routed, placed)]
+    ask_blocks = numbered[0].select(
         "qk", "self", *x, "want", "far", "cell",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.pmod(F.xxhash64("qk"), F.col("slots")).cast("int").alias("slot"),
     )
-    donor_blocks = lookup(placed, table, on).where("slots > 0").select(
+    donor_blocks = numbered[1].where("slots > 0").select(
         "dn", "dk", "dh", *x, *t, "cell",
         F.pmod(F.xxhash64("dk", "dh", F.spark_partition_id()), F.col("parts")).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),
