@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -329,8 +327,7 @@ def one_hot_wide(spark: SparkSession, sf: str) -> DataFrame:
     """A key taken as text: more values than columns are made for, so one sparse vector; rows are counted slot by slot."""
     rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("order"))
     fitted = encode.fit_one_hot(rows, ["order"], most=100)
-    seen = fitted.apply(rows).select(Summarizer.numNonZeros(F.col("OneHot__order")).alias("n"))
-    return seen.select(F.posexplode(vector_to_array("n")).alias("slot", "n")).select("slot", F.col("n").cast("bigint").alias("n"))
+    return encode.slot_counts(fitted.apply(rows), "OneHot__order")
 
 
 def one_hot_sql() -> str:
