@@ -11,6 +11,7 @@ from lintel.checks.common import KEY, LABEL, WITH, melt_sql, per_column_sql, rou
 from lintel.operators import correlation as C
 from lintel.operators import profile as P
 from lintel.operators.quantiles import column_quantiles
+from lintel.session import keep
 from lintel.sources.listing import NUMERIC, TEXT, listing, numeric_rows, table
 
 SHARE = "CAST({0} AS DOUBLE) / {1}"
@@ -133,12 +134,12 @@ def entries() -> dict:
         "class_prior": (lambda s, d: rounded(P.class_prior(listing(s, d), LABEL)), WITH + f""" SELECT {LABEL},
  {rs("CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM listing)", "prior")} FROM listing GROUP BY 1"""),
         "cardinality": (lambda s, d: P.cardinality(listing(s, d), TEXT), CARDINALITY_SQL),
-        "numeric_describe": (lambda s, d: rounded(P.numeric_describe(numeric_rows(s, d), NUMERIC)), describe_sql(NUMERIC)),
+        "numeric_describe": (lambda s, d: rounded(P.numeric_describe(keep(numeric_rows(s, d)), NUMERIC)), describe_sql(NUMERIC)),
         "numeric_describe_events": (lambda s, d: rounded(P.numeric_describe(events(s, d), ["value"])), per_column_sql(["value"], {
             "n": "count({c})", "mean": "round(avg({c}), 6) + 0.0", "std": "round(stddev_samp({c}), 6) + 0.0",
             "min": "round(min({c}), 6) + 0.0", "max": "round(max({c}), 6) + 0.0", **QUARTILES}, "events")),
         "basic_info": (lambda s, d: P.basic_info(listing(s, d)), BASIC_SQL),
-        "eda_report": (lambda s, d: rounded(as_rows(P.eda_report(listing(s, d), LABEL))), eda_sql()),
+        "eda_report": (lambda s, d: rounded(as_rows(P.eda_report(keep(listing(s, d)), LABEL))), eda_sql()),
         "value_shares": (lambda s, d: rounded(P.value_shares(listing(s, d), TEXT, 10)), COUNTS + """, placed AS (SELECT *,
  row_number() OVER (PARTITION BY "column" ORDER BY n DESC, "value" ASC NULLS FIRST) AS place, sum(n) OVER (PARTITION BY "column") AS total FROM counts)
  SELECT "column", "value", round(CAST(n AS DOUBLE) / total, 3) AS share, CAST(place AS INT) AS place FROM placed WHERE place <= 10"""),
@@ -194,5 +195,5 @@ def entries() -> dict:
         "matrix_health": (lambda s, d: rounded(P.matrix_health(numeric_rows(s, d), NUMERIC)), WITH + f""", long AS ({melt_sql(NUMERIC, "DOUBLE")})
  SELECT count(*) // {len(NUMERIC)} AS n_rows, {len(NUMERIC)} AS n_columns, count(*) FILTER ("value" IS NULL) AS n_nan, count(*) FILTER (isinf("value")) AS n_inf,
  {rs('CAST(count(*) FILTER ("value" = 0) AS DOUBLE) / count(*)', "zero_share")} FROM long"""),
-        "mutual_information": (lambda s, d: rounded(P.mutual_information(numeric_rows(s, d), NUMERIC, LABEL)), mutual_sql()),
+        "mutual_information": (lambda s, d: rounded(P.mutual_information(keep(numeric_rows(s, d)), NUMERIC, LABEL)), mutual_sql()),
     }
