@@ -9,6 +9,7 @@ from lintel.checks.common import KEY, LABEL, WITH, per_column_sql, rounded, rs
 from lintel.checks.tables import RANKED
 from lintel.operators import clean, encode, groups, neighbours, ranking, scale
 from lintel.plans.features import FeatureConfig, fit_features
+from lintel.session import keep
 from lintel.sources.listing import CLASSES, NUMERIC, TEXT, listing, numeric_rows, table
 
 IMPUTED = NUMERIC
@@ -63,7 +64,7 @@ def collapse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_missing(spark: SparkSession, sf: str) -> DataFrame:
-    rows = listing(spark, sf, KEY, "YearListed", "ParkingSpots", "PlotSize", "BuildingStyle", "HeatingType")
+    rows = keep(listing(spark, sf, KEY, "YearListed", "ParkingSpots", "PlotSize", "BuildingStyle", "HeatingType"))
     rows = rows.withColumn("GoneNumber", F.lit(None).cast("double"))
     fitted = clean.fit_clean_missing(
         train(rows), ["ParkingSpots", "PlotSize", "GoneNumber"], ["BuildingStyle", "HeatingType"],
