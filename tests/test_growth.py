@@ -1,9 +1,17 @@
 """What must not grow on the driver, in a task or on disk: checked on small rows."""
 
+from multiprocessing.pool import ThreadPool
+
+import pytest
+from conftest import SMALL
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from lintel.checks.learning import prepared
 from lintel.operators import encode
+from lintel.plans import ensemble, jobs, models
 from lintel.plans.models import assemble
+from lintel.session import keep
 
 
 def test_wide_one_hot_names_no_slot(spark):
@@ -19,3 +27,42 @@ def test_wide_one_hot_names_no_slot(spark):
     unseen = out.where(F.col("c") == "new").first()["OneHot__c"]
     assert unseen.size == 41 and unseen.numNonzeros() == 0
     assert assemble(out, ["OneHot__c"]).first().features.size == 41
+
+
+def test_kept_rows_are_columns_of_the_same_rows(spark):
+    rows = spark.createDataFrame([(1, "a", 0.1), (1, "a", 0.1), (None, None, None)], "k long, c string, x double")
+    kept = keep(rows)
+    assert kept.schema == rows.schema
+    assert sorted(map(str, kept.collect())) == sorted(map(str, rows.collect()))
+    assert kept.inputFiles()
+    assert keep(rows.limit(0)).count() == 0
+
+
+def test_rows_are_joined_once(spark):
+    """Learners' rows come from written columns: neither train nor valid joins the sources again, and no vector is written."""
+    for part in prepared(spark, SMALL):
+        files = part.inputFiles()
+        assert files and all("/kept-" in f for f in files)
+
+
+def test_large_tables_are_not_held(spark, monkeypatch):
+    """Above the bound learners are fitted one at a time, and neither they nor the jobs keep rows of their own; the models are the same."""
+    rows = spark.range(200).select(
+        (F.col("id") % 3).cast("double").alias("label"),
+        array_to_vector(F.array((F.col("id") % 3).cast("double"), (F.col("id") % 7).cast("double"))).alias("features"),
+    )
+    build = {n: (lambda n=n: models.BUILDERS[n]({"maxIter": 2})) for n in ("boosted_trees", "svm")}
+
+    def predicted() -> list:
+        voting = ensemble.VotingLearner(build).fit(rows)
+        return [r.prediction for r in voting.transform(rows).select("prediction").collect()]
+
+    want, seen = predicted(), []
+    monkeypatch.setattr(models, "HELD_BYTES", 0)
+    monkeypatch.setattr(jobs, "HELD_BYTES", 0)
+    monkeypatch.setattr(models, "ThreadPool", lambda n: seen.append(n) or ThreadPool(n))
+    monkeypatch.setattr(ensemble, "ThreadPool", lambda n: seen.append(n) or ThreadPool(n))
+    monkeypatch.setattr(type(rows), "persist", lambda *a: pytest.fail("a large table was held"))
+    assert predicted() == want
+    assert set(seen) == {1}
+    assert jobs.hold(rows) == []
