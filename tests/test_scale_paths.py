@@ -219,3 +219,27 @@ def test_permutation_importance_of_many_columns_in_one_plan(spark):
     score = lambda t: t.withColumn("prediction", F.col("a"))
     got = {r.feature: r for r in audit.permutation_importance(df, ["a", "b", "c"], "y", "k", score, 3).collect()}
     assert got["a"].importance_mean == pytest.approx(0.5, abs=0.05) and got["b"].importance_mean == got["c"].importance_std == 0
+
+
+def test_rows_travel_once_a_region(spark):
+    """Rows that must look into nearly all cells go to each region once, whatever the number of cells, and matrix products give exact distances."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(1000, 1, (1200, 16))
+    x[700:720] = x[3]
+    names = [f"e{i}" for i in range(16)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(x.tolist())], "k int, " + ", ".join(f"{c} double" for c in names))
+    rows, asks = neighbours._sides(df, df, "k", "k", names, {"k": F.col("k")}, None, True)
+    tree = neighbours._plant(rows, [f"x{i}" for i in range(16)], ["t0"], 20)
+    _, boxes = neighbours._placed(rows, tree, [f"x{i}" for i in range(16)], ["t0"])
+    regions = neighbours._regions(tree, boxes, 300)
+    sizes = boxes.groupby(regions[boxes["cell"]])["n"].sum()
+    assert tree.cells >= 50 and len(sizes) <= 8 and sizes.max() <= 300 and sizes.sum() == 1200
+    sent = neighbours._routed(asks, tree, boxes, regions, [f"x{i}" for i in range(16)], 1, 4, True)
+    assert sent.count() <= 1200 * len(sizes) < sent.agg(F.sum("seen")).first()[0]
+    got = neighbours.nearest(df, df, "k", names, {"k": F.col("k")}, 4, exclude_self=True, block=20).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.k, []).append((r.distance, r.donor))
+    for i in range(0, 1200, 7):
+        far = np.sqrt(neighbours.squared(x[i : i + 1], x, 16)[0])
+        assert sorted(found[i]) == sorted((d, j) for j, d in enumerate(far) if j != i)[:4]
