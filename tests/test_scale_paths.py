@@ -221,6 +221,24 @@ def test_permutation_importance_of_many_columns_in_one_plan(spark):
     assert got["a"].importance_mean == pytest.approx(0.5, abs=0.05) and got["b"].importance_mean == got["c"].importance_std == 0
 
 
+def test_permutation_importance_writes_no_row_again(spark, monkeypatch):
+    """Seated rows are written as columns; a repeat moves only what the score reads, and deals as `permuted_rows` does without places."""
+    df = spark.createDataFrame([(None if i < 5 else i % 50, i % 2, float(i), float(-i)) for i in range(100)], "k int, y int, a double, b double")
+    seated = ranking.seated_rows(df, "k")
+    dealt = ranking.permuted_rows(seated, ["a", "b"], "k", 7)
+    assert dealt.columns == ["__i", "k", "y", "a", "b", "__row", "__p_a", "__p_b"] and dealt.count() == 100
+    assert dealt.where("__p_a <> -__p_b").count() == 0
+    other = ranking.permuted_rows(seated.drop("__i"), ["a", "b"], "k", 7)
+    assert sorted(map(str, other.collect())) == sorted(map(str, dealt.select(other.columns).collect()))
+    plan = dealt.select("__p_a")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__p_b" not in plan
+    written = []
+    monkeypatch.setattr(ranking, "keep", lambda t: written.append(t) or t.localCheckpoint())
+    monkeypatch.setattr(ranking, "cut", lambda t: pytest.fail("rows were written again"))
+    audit.permutation_importance(df, ["a", "b"], "y", "k", lambda t: t.withColumn("prediction", F.col("a") % 2), 3)
+    assert len(written) == 2
+
+
 def test_rows_travel_once_a_region(spark):
     """Rows that must look into nearly all cells go to each region once, whatever the number of cells, and matrix products give exact distances."""
     rng = np.random.default_rng(9)
