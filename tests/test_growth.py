@@ -7,6 +7,7 @@ from conftest import SMALL
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from lintel.checks import labels
 from lintel.checks.learning import prepared
 from lintel.operators import encode
 from lintel.plans import ensemble, jobs, models
@@ -66,3 +67,25 @@ def test_large_tables_are_not_held(spark, monkeypatch):
     assert predicted() == want
     assert set(seen) == {1}
     assert jobs.hold(rows) == []
+
+
+def test_slim_pipeline_rows_are_joined_once(spark):
+    rows, _ = labels.slim_pipeline(spark, SMALL)
+    assert rows.inputFiles() and all("/kept-" in f for f in rows.inputFiles())
+
+
+def test_streamed_batches_take_all_cores(spark, monkeypatch, tmp_path):
+    """Three batches as before, each of a file for every core; every row is predicted once."""
+    rows = spark.range(2000).select(F.col("id").alias(labels.KEY), F.lit(1).alias(labels.LABEL), (F.col("id") * 2).alias("x"))
+
+    class Model:
+        def transform(self, df):
+            return df.withColumn("prediction", F.col("x") % 5)
+
+    monkeypatch.setattr(labels, "slim_pipeline", lambda spark, sf: (rows, Model()))
+    monkeypatch.setattr(labels, "scratch", lambda spark, name: str(tmp_path / name))
+    got = labels.stream_prediction(spark, SMALL)
+    assert got.count() == 2000 and got.where("NOT same").count() == 0
+    cores = spark.sparkContext.defaultParallelism
+    assert len(list((tmp_path / "rows").glob("part-*"))) == 3 * cores
+    assert sorted(p.name for p in (tmp_path / "predicted").glob("batch=*")) == ["batch=0", "batch=1", "batch=2"]
