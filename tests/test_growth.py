@@ -1,16 +1,18 @@
 """What must not grow on the driver, in a task or on disk: checked on small rows."""
 
 from multiprocessing.pool import ThreadPool
+from threading import Barrier
 
 import pytest
 from conftest import SMALL
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml import Estimator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from lintel.checks import labels
 from lintel.checks.learning import prepared
 from lintel.operators import encode
-from lintel.plans import ensemble, jobs, models
+from lintel.plans import ensemble, jobs, models, persist
 from lintel.plans.models import assemble
 from lintel.session import keep
 
@@ -89,3 +91,48 @@ def test_streamed_batches_take_all_cores(spark, monkeypatch, tmp_path):
     cores = spark.sparkContext.defaultParallelism
     assert len(list((tmp_path / "rows").glob("part-*"))) == 3 * cores
     assert sorted(p.name for p in (tmp_path / "predicted").glob("batch=*")) == ["batch=0", "batch=1", "batch=2"]
+
+
+class Meets(Estimator):
+    """A learner that waits until others are fitted beside it, and tells the files of its rows."""
+
+    def __init__(self, barrier: Barrier, files: list):
+        super().__init__()
+        self.barrier, self.files = barrier, files
+
+    def _fit(self, df):
+        self.barrier.wait()
+        self.files += df.inputFiles()
+        return models.gaussian_nb().fit(df.withColumn("features", F.transform(vector_to_array("features"), F.abs)).withColumn("features", array_to_vector("features")))
+
+
+@pytest.mark.parametrize("held", [models.HELD_BYTES, 0])
+def test_pipelines_side_by_side_on_written_columns(spark, monkeypatch, held):
+    """Few rows: pipelines are fitted side by side, on rows that are joined once; many rows: one at a time. Lines are in the order of the learners."""
+    files: list = []
+    barrier = Barrier(models.PARALLEL if held else 1, timeout=120)
+    names = [f"m{i}" for i in range(models.PARALLEL)]
+    monkeypatch.setattr(labels, "LEARNERS", {n: lambda: Meets(barrier, files) for n in names})
+    monkeypatch.setattr(labels, "ENSEMBLES", {})
+    monkeypatch.setattr(models, "HELD_BYTES", held)
+    got = labels.pipelines(spark, SMALL).collect()
+    assert [r.model for r in got] == names
+    assert {(r.n_rows, r.n_same) for r in got} == {(1198, 1198)}
+    assert files and all("/kept-" in f for f in files)
+
+
+def test_parts_are_written_and_read_side_by_side(spark, tmp_path, monkeypatch):
+    """Three parts that wait for each other; the model read back has each of them under its own name."""
+    rows = spark.range(60).select((F.col("id") % 3).cast("double").alias("label"), array_to_vector(F.array((F.col("id") % 3).cast("double"))).alias("features"))
+    model = models.ridge_classifier().fit(rows)
+    barrier, load = Barrier(3, timeout=120), persist.load_stage
+
+    def met(spark, path):
+        if "part-" in path:
+            barrier.wait()
+        return load(spark, path)
+
+    monkeypatch.setattr(persist, "load_stage", met)
+    models.save_model(spark, model, str(tmp_path / "m"))
+    loaded = load(spark, str(tmp_path / "m"))
+    assert [m.coefficients for m in loaded.models] == [m.coefficients for m in model.models]
