@@ -33,7 +33,7 @@ def train(df: DataFrame) -> DataFrame:
 
 
 def median_impute(spark: SparkSession, sf: str) -> DataFrame:
-    rows = numeric_rows(spark, sf, *IMPUTED)
+    rows = keep(numeric_rows(spark, sf, *IMPUTED))
     return rounded(clean.fit_impute(rows, IMPUTED, "median", add_indicator=True).apply(rows).drop(LABEL))
 
 
@@ -76,6 +76,7 @@ def clean_missing(spark: SparkSession, sf: str) -> DataFrame:
 def bounds(method: str, threshold: float):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         rows = numeric_rows(spark, sf, *BOUNDED)
+        rows = keep(rows) if method == "iqr" else rows  # the other takes one scan
         return rounded(clean.fit_outlier_bounds(rows, BOUNDED, method, threshold).table(spark))
 
     return query
@@ -84,14 +85,14 @@ def bounds(method: str, threshold: float):
 def apply_bounds(action: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         columns = REMOVED if action == "remove" else BOUNDED
-        rows = numeric_rows(spark, sf, *columns).drop(LABEL)
+        rows = keep(numeric_rows(spark, sf, *columns).drop(LABEL))
         return rounded(clean.fit_outlier_bounds(rows, columns, "iqr", 0.3).apply(rows, action))
 
     return query
 
 
 def outlier_info(spark: SparkSession, sf: str) -> DataFrame:
-    rows = numeric_rows(spark, sf, *BOUNDED)
+    rows = keep(numeric_rows(spark, sf, *BOUNDED))
     return rounded(clean.fit_outlier_bounds(rows, BOUNDED, "iqr", 0.3).info(rows))
 
 
@@ -135,7 +136,8 @@ def mean_target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def target_oof(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ranking.stratified_folds(listing(spark, sf, KEY, LABEL, *ENCODED), LABEL, KEY, 5, 42)
+    # ranked once as well: the folds are read by each count and by the encoding
+    rows = keep(ranking.stratified_folds(keep(listing(spark, sf, KEY, LABEL, *ENCODED)), LABEL, KEY, 5, 42))
     out = encode.target_encode_oof(rows, ENCODED, LABEL, "fold", CLASSES)
     return rounded(out.select(KEY, *[f"TE__{c}__p{i}" for c in ENCODED for i in range(5)]))
 
@@ -160,7 +162,7 @@ def mode_impute(spark: SparkSession, sf: str) -> DataFrame:
 
 def scaled(fit):
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows = numeric_rows(spark, sf, *BOUNDED).drop(LABEL).withColumn("flat", F.lit(3.0))
+        rows = keep(numeric_rows(spark, sf, *BOUNDED).drop(LABEL)).withColumn("flat", F.lit(3.0))
         return rounded(fit(rows, [*BOUNDED, "flat"]).apply(rows))
 
     return query

@@ -163,7 +163,7 @@ def entries() -> dict:
  shares AS (SELECT "column", {LABEL}, n1 / t1 AS share_missing, n0 / t0 AS share_present FROM counts JOIN totals ON "column" = c)
  SELECT "column", {LABEL}, {rs("share_missing", "share_missing")}, {rs("share_present", "share_present")},
  {rs(f'max({label_gap}) OVER (PARTITION BY "column")', "max_diff")} FROM shares"""),
-        "iqr_outlier_rate": (lambda s, d: rounded(P.iqr_outlier_rate(numeric_rows(s, d), NUMERIC, 0.3)), WITH + f""", long AS ({melt_sql(NUMERIC, "DOUBLE")}),
+        "iqr_outlier_rate": (lambda s, d: rounded(P.iqr_outlier_rate(keep(numeric_rows(s, d)), NUMERIC, 0.3)), WITH + f""", long AS ({melt_sql(NUMERIC, "DOUBLE")}),
  q AS (SELECT "column" AS c, quantile_cont("value", 0.25) AS q1, quantile_cont("value", 0.75) AS q3 FROM long GROUP BY 1)
  SELECT "column", {rs('CAST(count(*) FILTER ("value" < q1 - 0.3e0 * (q3 - q1) OR "value" > q3 + 0.3e0 * (q3 - q1)) AS DOUBLE) / count(*)', "rate")}
  FROM long JOIN q ON "column" = c GROUP BY 1 HAVING CAST(count(*) FILTER ("value" < q1 - 0.3e0 * (q3 - q1) OR "value" > q3 + 0.3e0 * (q3 - q1)) AS DOUBLE) / count(*) > 0.01e0"""

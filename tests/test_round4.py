@@ -37,3 +37,19 @@ def test_keys_beyond_bigint_end_no_job(spark, far):
     got = sorted(r[0] for r in source.listing(spark, path, KEY).collect())
     assert got == wrapped and len(set(got)) == len(lines)
     assert source.KEY_TEXT in source.BODY
+
+
+@pytest.mark.parametrize(("module", "name", "operator"), [
+    ("profiles", "P", "iqr_outlier_rate"), ("cleaning", "clean", "fit_outlier_bounds"), ("cleaning", "clean", "fit_impute"),
+    ("cleaning", "scale", "fit_robust"), ("cleaning", "encode", "target_encode_oof"),
+])
+def test_rows_of_several_scans_are_joined_once(spark, monkeypatch, far, module, name, operator):
+    """What an operator scans again and again are written columns, not the joins of the sources."""
+    import importlib
+
+    at = importlib.import_module(f"lintel.checks.{module}")
+    query = {"fit_outlier_bounds": "outlier_nan", "fit_impute": "median_impute", "fit_robust": "robust_scale"}.get(operator, operator)
+    seen, original = [], getattr(getattr(at, name), operator)
+    monkeypatch.setattr(getattr(at, name), operator, lambda df, *a, **kw: seen.append(df.inputFiles()) or original(df, *a, **kw))
+    assert at.entries()[query][0](spark, far[0]).count()
+    assert seen and all("/kept-" in f for files in seen for f in files)
