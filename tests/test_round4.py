@@ -3,8 +3,10 @@
 import datetime
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from lintel.plans import models
 from lintel.sources import listing as source
 from lintel.sources.listing import KEY
 
@@ -53,3 +55,61 @@ def test_rows_of_several_scans_are_joined_once(spark, monkeypatch, far, module,
     monkeypatch.setattr(getattr(at, name), operator, lambda df, *a, **kw: seen.append(df.inputFiles()) or original(df, *a, **kw))
     assert at.entries()[query][0](spark, far[0]).count()
     assert seen and all("/kept-" in f for files in seen for f in files)
+
+
+def labelled(spark, n: int, seed: int, width: int = 14):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, width)), 1)
+    x[n // 2 :] = x[: n - n // 2]  # every vector at least twice
+    y = rng.integers(0, 3, n)
+    rows = spark.createDataFrame([(i, float(b), a.tolist()) for i, (a, b) in enumerate(zip(x, y, strict=True))], "k long, label double, a array<double>")
+    return x, y, rows.select("k", "label", array_to_vector("a").alias("features"))
+
+
+@pytest.mark.parametrize("weights", ["uniform", "distance"])
+@pytest.mark.parametrize("local", [True, False])
+def test_neighbours_among_all_labelled_rows(spark, monkeypatch, tmp_path, local, weights):
+    """More labelled rows than the old bound of 20,000: votes are those of brute force over all of them, sent or searched, before and after saving."""
+    import numpy as np
+
+    monkeypatch.setattr(models, "LOCAL_ROWS", (1 << 16) if local else 0)
+    x, y, rows = labelled(spark, 24_000, 1)
+    q, _, asks = labelled(spark, 300, 2)
+    q[:100] = x[23_900:]  # of rows that come last
+    asks = spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(q)], "k long, a array<double>").select("k", array_to_vector("a").alias("features"))
+    k = 4
+    model = models.knn({"k": k, "weights": weights}).fit(rows)
+    assert model.rows.count() == 24_000
+    models.save_model(spark, model, str(tmp_path / "m"))
+    got = {r.k: np.array(r.probability.toArray()) for r in models.load_model(spark, str(tmp_path / "m")).transform(asks).collect()}
+    assert len(got) == 300
+    far = np.zeros((300, 24_000))
+    for i in range(x.shape[1]):
+        far += (q[:, i][:, None] - x[:, i][None, :]) ** 2
+    checked = 0
+    for i in range(300):
+        order = np.sort(far[i])
+        if order[k] - order[k - 1] < 1e-9:
+            continue  # a tie at the last place: votes depend on the order of hashes
+        near = np.argsort(far[i], kind="stable")[:k]
+        gap = np.sqrt(far[i, near])
+        w = np.ones(k) if weights == "uniform" else (gap == 0).astype(float) if (gap == 0).any() else 1 / gap
+        want = np.bincount(y[near], w, 3) / w.sum()
+        assert np.allclose(got[i], want), i
+        checked += 1
+    assert checked > 100
+
+
+def test_sent_and_searched_neighbours_are_the_same(spark, monkeypatch):
+    """Ties included, repeated and null keys included; columns that are there stay."""
+    _, _, rows = labelled(spark, 600, 3, 2)
+    asks = rows.withColumn("k", F.when(F.col("k") % 5 > 0, F.col("k") % 7)).withColumn("x", F.lit(1))
+    model = models.knn({"k": 5}).fit(rows)
+    seen = []
+    for most in (1 << 16, 0):
+        monkeypatch.setattr(models, "LOCAL_ROWS", most)
+        out = model.transform(asks)
+        seen.append(sorted(str(r) for r in out.select("k", "x", "label", "features", "probability", "prediction").collect()))
+    assert seen[0] == seen[1] and len(seen[0]) == 600
