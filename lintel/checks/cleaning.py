@@ -136,8 +136,8 @@ def mean_target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def target_oof(spark: SparkSession, sf: str) -> DataFrame:
-    # ranked once as well: the folds are read by each count and by the encoding
-    rows = keep(ranking.stratified_folds(keep(listing(spark, sf, KEY, LABEL, *ENCODED)), LABEL, KEY, 5, 42))
+    # joined and ranked once, for each count and for the encoding; rows of one key and class are dealt to folds in the order of the joins
+    rows = keep(ranking.stratified_folds(listing(spark, sf, KEY, LABEL, *ENCODED), LABEL, KEY, 5, 42))
     out = encode.target_encode_oof(rows, ENCODED, LABEL, "fold", CLASSES)
     return rounded(out.select(KEY, *[f"TE__{c}__p{i}" for c in ENCODED for i in range(5)]))
 
