@@ -33,8 +33,8 @@ def train(df: DataFrame) -> DataFrame:
 
 
 def median_impute(spark: SparkSession, sf: str) -> DataFrame:
-    rows = keep(numeric_rows(spark, sf, *IMPUTED))
-    return rounded(clean.fit_impute(rows, IMPUTED, "median", add_indicator=True).apply(rows).drop(LABEL))
+    rows = numeric_rows(spark, sf, *IMPUTED)
+    return rounded(clean.fit_impute(keep(rows), IMPUTED, "median", add_indicator=True).apply(rows).drop(LABEL))
 
 
 def impute_by(strategy: str, columns: list[str], **kw):
@@ -85,8 +85,8 @@ def bounds(method: str, threshold: float):
 def apply_bounds(action: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         columns = REMOVED if action == "remove" else BOUNDED
-        rows = keep(numeric_rows(spark, sf, *columns).drop(LABEL))
-        return rounded(clean.fit_outlier_bounds(rows, columns, "iqr", 0.3).apply(rows, action))
+        rows = numeric_rows(spark, sf, *columns).drop(LABEL)
+        return rounded(clean.fit_outlier_bounds(keep(rows), columns, "iqr", 0.3).apply(rows, action))
 
     return query
 
@@ -162,8 +162,8 @@ def mode_impute(spark: SparkSession, sf: str) -> DataFrame:
 
 def scaled(fit):
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows = keep(numeric_rows(spark, sf, *BOUNDED).drop(LABEL)).withColumn("flat", F.lit(3.0))
-        return rounded(fit(rows, [*BOUNDED, "flat"]).apply(rows))
+        rows = numeric_rows(spark, sf, *BOUNDED).drop(LABEL).withColumn("flat", F.lit(3.0))
+        return rounded(fit(keep(rows), [*BOUNDED, "flat"]).apply(rows))
 
     return query
 
